@@ -1,0 +1,60 @@
+"""Pairs of texts with common words, without comparing every text with every other."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from clickweave.functions.hashing import hash_bucket
+
+
+def common_word_pairs(texts: DataFrame, text: str, tokens: Column, least: int = 3, block: int = 1000) -> DataFrame:
+    """Ordered pairs of different texts that share at least ``least`` distinct tokens.
+
+    * Equal texts are folded first, so a group of copies is one row with its number of copies.
+    * A pair that shares ``least`` tokens shares at least one that is not among the ``least - 1``
+      most frequent tokens of either text. Only the others make candidates, rare ones included, so the
+      words that most texts contain never do; the result is still complete.
+    * The rows of one token are cut into blocks of about ``block``; each pair of blocks is a join key
+      of its own, so no task holds more than one pair of blocks of one token.
+    """
+    folded = (
+        texts.groupBy(F.col(text).alias("text"))
+        .agg(F.count("*").alias("copies"))
+        .select("text", "copies", F.md5("text").alias("id"), F.array_distinct(tokens).alias("tokens"))
+    )
+    words = folded.select("id", F.explode("tokens").alias("token"))
+    counts = words.groupBy("token").agg(F.count("*").alias("df"))
+    ranked = (
+        words.join(counts, "token")
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_df"))
+        .where(F.size("by_df") >= least)
+        .select("id", F.explode(F.expr(f"slice(by_df, 1, size(by_df) - {least - 1})")).alias("t"))
+        .select("id", "t.token", F.ceil(F.col("t.df") / block).alias("blocks"))
+        .withColumn("mine", hash_bucket(F.col("blocks"), "id", "token"))
+    )
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    left = ranked.select("token", F.col("id").alias("a"), F.col("mine").alias("i"), F.explode(every).alias("j"))
+    right = ranked.select("token", F.col("id").alias("b"), F.col("mine").alias("j"), F.explode(every).alias("i"))
+    candidates = left.join(right, ["token", "i", "j"]).where(F.col("a") < F.col("b")).select("a", "b").distinct()
+
+    sides = [
+        folded.select(F.col("id").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("text", "copies", "tokens")])
+        for k in ("a", "b")
+    ]
+    shared = F.array_sort(F.array_intersect("a_tokens", "b_tokens"))
+    found = (
+        candidates.join(sides[0], "a")
+        .join(sides[1], "b")
+        .withColumn("shared", shared)
+        .where(F.size("shared") >= least)
+    )
+    both = F.explode(
+        F.array(
+            F.struct(F.col("a_text").alias("left_text"), F.col("b_text").alias("right_text")),
+            F.struct(F.col("b_text").alias("left_text"), F.col("a_text").alias("right_text")),
+        )
+    ).alias("p")
+    return found.select(
+        both, F.array_join("shared", ",").alias("words"), (F.col("a_copies") * F.col("b_copies")).alias("n")
+    ).select("p.left_text", "p.right_text", "words", "n")

@@ -50,7 +50,7 @@ def salted_sum(
 
 
 def with_segment(
-    df: DataFrame, keys: Sequence[str], row_id: str, max_rows: int, name: str = "segment"
+    df: DataFrame, keys: Sequence[str], row_id: str | Sequence[str], max_rows: int, name: str = "segment"
 ) -> DataFrame:
     """Number the segments of each group so that none holds much more than ``max_rows`` rows.
 
@@ -59,7 +59,8 @@ def with_segment(
     without one row, or one task, holding them all.
     """
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / max_rows).alias("_segments"))
+    ids = [row_id] if isinstance(row_id, str) else row_id
     numbered = df.join(sizes, list(keys))
     return numbered.withColumn(
-        name, F.when(F.col("_segments") <= 1, F.lit(0)).otherwise(hash_bucket(F.col("_segments"), row_id))
+        name, F.when(F.col("_segments") <= 1, F.lit(0)).otherwise(hash_bucket(F.col("_segments"), *ids))
     ).drop("_segments")

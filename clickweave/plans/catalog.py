@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from clickweave.plans import products, projection  # noqa: F401
+from clickweave.plans import aggregation, behaviour, joining, products, projection, ranking  # noqa: F401
 from clickweave.plans.registry import BUILDERS, SQL  # noqa: F401

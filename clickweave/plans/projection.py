@@ -123,10 +123,10 @@ def where_subquery(spark, folder):
     )
 
 
-@query("select_regex_cols", views.sql("stocks") + "SELECT trade_id, symbol, price_close, price_high FROM stocks")
+@query("select_regex_cols", views.sql("stocks") + "SELECT ymd, symbol, price_close, price_high FROM stocks")
 def select_regex_cols(spark, folder):
     stocks = views.stocks(spark, folder)
-    return stocks.select("trade_id", "symbol", stocks.colRegex("`price.*`"))
+    return stocks.select("ymd", "symbol", stocks.colRegex("`price.*`"))
 
 
 @query(

@@ -7,8 +7,8 @@ cities         nations with their region as area
 products       parts with a JSON ``extend_info``
 ad_clicks      click events with province, city, user and ad
 employees      suppliers with salary, deductions and address
-stocks         orders as prices per day and symbol
-dividends      urgent and high orders as dividends
+stocks         closing price per day and symbol, from orders
+dividends      dividend per day and symbol, from finished orders
 =============  ==========================================================================
 """
 
@@ -125,13 +125,16 @@ def employees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stocks(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("trade_id"),
-        F.to_date("o_orderdate").alias("ymd"),
-        F.when(F.col("o_custkey") % 2 == 0, "NASDAQ").otherwise("NYSE").alias("exchange"),
-        F.col("o_orderpriority").alias("symbol"),
-        F.col("o_totalprice").alias("price_close"),
-        (F.col("o_totalprice") + 1).alias("price_high"),
+    """One closing price per day and symbol; every symbol is listed at one exchange."""
+    symbol = F.col("o_orderpriority")
+    return (
+        table(spark, folder, "orders")
+        .groupBy(F.to_date("o_orderdate").alias("ymd"), symbol.alias("symbol"))
+        .agg(
+            F.max_by("o_totalprice", "o_orderkey").alias("price_close"),
+            F.max("o_totalprice").alias("price_high"),
+        )
+        .withColumn("exchange", F.when(F.substring("symbol", 1, 1).isin("1", "3", "5"), "NASDAQ").otherwise("NYSE"))
     )
 
 
@@ -140,7 +143,7 @@ def dividends(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "orders")
         .where(F.col("o_orderstatus") == "F")
         .groupBy(F.to_date("o_orderdate").alias("ymd"), F.col("o_orderpriority").alias("symbol"))
-        .agg(F.round(F.sum("o_totalprice") / 100, 2).alias("dividend"))
+        .agg(F.round(F.sum("o_totalprice"), 2).alias("dividend"))
     )
 
 
@@ -182,13 +185,13 @@ SQL = {
                n_name AS city, substr(n_name, 1, 2) AS state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "stocks": """
-        SELECT o_orderkey AS trade_id, CAST(o_orderdate AS DATE) AS ymd,
-               CASE WHEN o_custkey % 2 = 0 THEN 'NASDAQ' ELSE 'NYSE' END AS exchange,
-               o_orderpriority AS symbol, o_totalprice AS price_close, o_totalprice + 1 AS price_high
-        FROM orders""",
+        SELECT CAST(o_orderdate AS DATE) AS ymd, o_orderpriority AS symbol,
+               arg_max(o_totalprice, o_orderkey) AS price_close, max(o_totalprice) AS price_high,
+               CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '3', '5') THEN 'NASDAQ' ELSE 'NYSE' END AS exchange
+        FROM orders GROUP BY 1, 2""",
     "dividends": """
         SELECT CAST(o_orderdate AS DATE) AS ymd, o_orderpriority AS symbol,
-               round(sum(o_totalprice) / 100, 2) AS dividend
+               round(sum(o_totalprice), 2) AS dividend
         FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""",
 }
 
