@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.operators.skew import with_segment
+from clickweave.sinks.writers import few_files
 from clickweave.workspace import fresh_dir
 
 
@@ -55,14 +56,15 @@ def binned(df: DataFrame, bins: Mapping[str, Column]) -> DataFrame:
     return by_folder(df.withColumn("bin", bins_of(bins)), "bin", "bins")
 
 
-def by_folder(df: DataFrame, column: str, label: str) -> DataFrame:
+def by_folder(df: DataFrame, column: str, label: str, gather: bool = False) -> DataFrame:
     """Write ``df`` with one folder per value of ``column`` and read it back.
 
     Tasks write their own file in each folder, so a value with very many rows needs no task of its own.
+    With many folders, ``gather`` brings the rows of each together first.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    df.write.partitionBy(column).parquet(path)
+    (few_files(df, column) if gather else df).write.partitionBy(column).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -52,7 +52,7 @@ def binning_multi(spark, folder):
 @query("partition_by_year", "SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders")
 def partition_by_year(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    return organize.by_folder(orders, "year", "years")
+    return organize.by_folder(orders, "year", "years", gather=True)
 
 
 @query(

@@ -41,13 +41,20 @@ def save_sharded(pairs: DataFrame, path: str, shards: int, mode: str = "append")
     pairs.select("key", "value", shard).write.mode(mode).partitionBy("shard").parquet(path)
 
 
+def few_files(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one folder brought together so that it gets few files; a very large folder is split again."""
+    return df.hint("rebalance", *keys)
+
+
 def save_by_month(df: DataFrame, date: str, path: str) -> None:
-    df.withColumn("month", F.date_format(date, "yyyy-MM")).write.partitionBy("month").parquet(path)
+    dated = df.withColumn("month", F.date_format(date, "yyyy-MM"))
+    few_files(dated, "month").write.partitionBy("month").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Replace exactly the (keys) folders that ``df`` has rows for; others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    writer = few_files(df, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
 
 
 class BatchLog:
