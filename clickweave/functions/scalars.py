@@ -47,8 +47,8 @@ def parse_minute_key(key: Column | str) -> Column:
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
-    """Whole seconds from ``earlier`` to ``later``, the fraction cut off."""
-    return F.timestamp_diff("SECOND", _col(earlier), _col(later))
+    """Whole seconds from ``earlier`` to ``later``, the fraction cut off; no time zone is involved."""
+    return F.call_function("div", _col(later) - _col(earlier), F.expr("INTERVAL '1' SECOND"))
 
 
 def is_empty(text: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.operators.skew import hot_keys, with_segment
+from clickweave.operators.skew import hot_keys, is_any, with_segment
 from clickweave.workspace import fresh_dir, fresh_name
 
 
@@ -61,7 +61,7 @@ def prefiltered(big: DataFrame, small: DataFrame, on: Sequence[str], keep) -> Da
 
 
 def bucketed(
-    left: DataFrame, right: DataFrame, key: str, buckets: int, sort: Sequence[str] = (), share: float | None = None
+    left: DataFrame, right: DataFrame, key: str, buckets: int, share: float | None = None
 ) -> DataFrame:
     """Composite join: both sides bucketed and sorted on the key, then merged without a shuffle.
 
@@ -69,14 +69,13 @@ def bucketed(
     are not split; such keys (at most ``1 / share``) stay out of the buckets and are joined apart.
     """
     spark = left.sparkSession
-    limit = share or 1.0 / buckets
-    hot = hot_keys(left, key, limit)
+    hot = is_any(key, hot_keys(left, key, share or 1.0 / buckets))
     names = []
     for label, side in (("left", left), ("right", right)):
         name = fresh_name(f"bucketed_{label}")
-        cold = side.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
         (
-            cold.write.bucketBy(buckets, key)
+            side.where(F.col(key).isNotNull() & ~hot)
+            .write.bucketBy(buckets, key)
             .sortBy(key)
             .option("path", fresh_dir(spark, name))
             .format("parquet")
@@ -84,9 +83,7 @@ def bucketed(
         )
         names.append(name)
     merged = spark.table(names[0]).hint("merge").join(spark.table(names[1]), key)
-    hot_left = left.join(F.broadcast(hot), key, "left_semi")
-    hot_right = right.join(F.broadcast(hot), key, "left_semi")
-    return merged.unionByName(hot_left.join(hot_right, key))
+    return merged.unionByName(left.where(hot).join(right.where(hot), key))
 
 
 def cogroup_segments(

@@ -14,6 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from clickweave.functions.hashing import salt
 from clickweave.workspace import stored
 
 _IN_PARTITION_BITS = 33  # layout of monotonically_increasing_id
@@ -91,14 +92,32 @@ def top_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_per_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int, name: str = "rank"
-) -> DataFrame:
-    """The first ``n`` rows of each group; a constant ``n`` lets every task cut its groups before the shuffle."""
+def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int, name: str) -> DataFrame:
     window = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
 
 
+def top_per_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    n: int,
+    name: str = "rank",
+    spread: Sequence[str] = (),
+    salts: int = 64,
+) -> DataFrame:
+    """The first ``n`` rows of each group.
+
+    For a small constant ``n`` every task cuts its groups to ``n`` rows before the shuffle. Spark does so
+    up to ``windowGroupLimitThreshold`` (1000); for more, name the unique columns in ``spread``: each group
+    is then ranked in ``salts`` parts first, and only the first ``n`` of each part are ranked together.
+    """
+    if spread:
+        parts = df.withColumn("_salt", salt(salts, *spread))
+        df = _first_rows(parts, [*keys, "_salt"], order, n, "_in_part").drop("_salt", "_in_part")
+    return _first_rows(df, keys, order, n, name)
+
+
 def top_values(df: DataFrame, key: str, value: str, n: int, tie: Sequence[str], name: str = "values") -> DataFrame:
     """The ``n`` largest values of each key as one list, largest first."""
     best = top_per_group(df, [key], [F.desc(value), *tie], n, "_rank")

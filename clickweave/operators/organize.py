@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickweave.operators.joins import without_partner
 from clickweave.operators.skew import with_segment
 from clickweave.sinks.writers import few_files
 from clickweave.workspace import fresh_dir
@@ -31,10 +32,9 @@ def nest_children(
         .agg(F.sort_array(F.collect_list(F.struct(*child))).alias(name))
     )
     empty = F.array().cast(lists.schema[name].dataType)
-    joined = parents.join(lists, key, "left")
-    return joined.withColumn("segment", F.coalesce("segment", F.lit(0).cast("long"))).withColumn(
-        name, F.coalesce(name, empty)
-    )
+    lonely = without_partner(parents, children, [key])
+    childless = lonely.withColumn("segment", F.lit(0).cast("long")).withColumn(name, empty)
+    return parents.join(lists, key).unionByName(childless)
 
 
 def question_answers(
@@ -125,9 +125,10 @@ def anonymized_and_distinct(df: DataFrame, user: str, drop: Sequence[str], dates
     return both.where("output = 'anonymized'").unionByName(users)
 
 
-def small_files_joined(df: DataFrame, files: int, label: str = "few-files") -> DataFrame:
-    """Write the little that a selective filter leaves as ``files`` files, without a shuffle."""
+def in_few_files(df: DataFrame, label: str = "few-files") -> DataFrame:
+    """Write the little that a selective filter leaves as few files: the scan keeps all its tasks, and the
+    rows left over are brought together in partitions of the advisory size."""
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    df.coalesce(files).write.parquet(path)
+    few_files(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from clickweave.functions.scalars import seconds_between
 from clickweave.operators.aggregates import counts_per_kind, id_list, one_id
 from clickweave.operators.ordering import top_per_group, top_rows
+from clickweave.workspace import stored
 
 # Bucket name, lowest and highest whole second of a visit (no limit: None).
 VISIT_BUCKETS = (
@@ -58,7 +59,7 @@ def matches(params: Mapping[str, object]) -> Column:
     out = conditions[0]
     for condition in conditions[1:]:
         out = out & condition
-    return F.coalesce(out, F.lit(False))
+    return out
 
 
 def matching_sessions(sessions: DataFrame, params: Mapping[str, object]) -> DataFrame:
@@ -99,13 +100,17 @@ def hourly_quota(sessions: DataFrame, total: int) -> DataFrame:
 def stratified_extract(sessions: DataFrame, total: int) -> DataFrame:
     """Draw sessions hour by hour. The draw is by md5 of the session id, so it never changes on a retry.
 
-    ``rank <= total`` is implied by the quota; stated as a constant it lets every task cut its hours
-    before the shuffle, so a hot hour sends at most ``total`` rows per task.
+    Sessions are stored once, as both the quotas and the draw read them. No quota exceeds ``total``, so
+    ranking stops there, and a hot hour is ranked in parts.
     """
-    timed = sessions.withColumn("date", F.date_format("start_time", "yyyy-MM-dd")).withColumn(
-        "hour", F.date_format("start_time", "HH")
+    timed = stored(
+        sessions.withColumn("date", F.date_format("start_time", "yyyy-MM-dd")).withColumn(
+            "hour", F.date_format("start_time", "HH")
+        ),
+        "sessions",
     )
-    draw = top_per_group(timed, ["date", "hour"], [F.md5("session_id"), F.asc("session_id")], total, "rank")
+    order = [F.md5("session_id"), F.asc("session_id")]
+    draw = top_per_group(timed, ["date", "hour"], order, total, "rank", spread=["session_id"])
     chosen = draw.join(hourly_quota(timed, total), ["date", "hour"]).where(F.col("rank") <= F.col("quota"))
     return chosen.drop("quota", "rank")
 

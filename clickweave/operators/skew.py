@@ -9,27 +9,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickweave.functions.hashing import hash_bucket, salt
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows. At most ``1 / share`` of them can exist."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_n")).scalar()
-    return counts.where(F.col("_n") >= total * F.lit(share)).select(key)
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Every key that holds more than ``share`` of all rows, and perhaps a few others.
+
+    One pass over the key column that keeps ``1 / share`` counters per task and shuffles no rows; the
+    list has at most ``1 / share`` entries. Its users only spread work by it, so a key too many is harmless.
+    """
+    found = df.where(F.col(key).isNotNull()).select(key).freqItems([key], share).first()
+    return [] if found is None or found[0] is None else list(found[0])
+
+
+def is_any(key: str, values: list) -> Column:
+    return F.col(key).isin(values) if values else F.lit(False)
 
 
 def split_join(
     big: DataFrame, small: DataFrame, key: str, row_id: Sequence[str], salts: int = 16, share: float = 0.01
 ) -> DataFrame:
-    """Inner join that spreads only the hot keys of ``big`` over ``salts`` tasks each.
-
-    The list of hot keys is broadcast: it holds at most ``1 / share`` rows.
-    """
-    hot = F.broadcast(hot_keys(big, key, share).withColumn("_hot", F.lit(True)))
-    left = big.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt(salts, *row_id)).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.drop("_hot").join(right, [key, "_salt"]).drop("_salt")
+    """Inner join that spreads only the hot keys of ``big`` over ``salts`` tasks each."""
+    hot = is_any(key, hot_keys(big, key, share))
+    left = big.withColumn("_salt", F.when(hot, salt(salts, *row_id)).otherwise(F.lit(0)))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = small.withColumn("_salt", F.explode(copies))
+    return left.join(right, [key, "_salt"]).drop("_salt")
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, row_id: Sequence[str], salts: int = 10) -> DataFrame:
@@ -60,7 +62,7 @@ def with_segment(
     """
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / max_rows).alias("_segments"))
     ids = [row_id] if isinstance(row_id, str) else row_id
-    numbered = df.join(sizes, list(keys))
-    return numbered.withColumn(
-        name, F.when(F.col("_segments") <= 1, F.lit(0)).otherwise(hash_bucket(F.col("_segments"), *ids))
-    ).drop("_segments")
+    number = F.when(F.col("_segments") <= 1, F.lit(0)).otherwise(hash_bucket(F.col("_segments"), *ids))
+    numbered = df.join(sizes, list(keys)).withColumn(name, number).drop("_segments")
+    # The join leaves rows clustered by the keys alone; without this, a hot group would stay in one task.
+    return numbered.repartition(*keys, name)

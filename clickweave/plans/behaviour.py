@@ -6,6 +6,7 @@ from clickweave.operators import funnel, sessions
 from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
+from clickweave.workspace import stored
 
 FIRST, LAST = "2024-01-02", "2024-01-28"
 AGES = {"startAge": "20", "endAge": "60"}
@@ -172,7 +173,7 @@ def top10_category(spark, folder):
 
 
 def _top_sessions(spark, folder):
-    matched = _matched(spark, folder)
+    matched = stored(_matched(spark, folder), "matched")  # read for the categories and again for their sessions
     return sessions.top_sessions_per_category(matched, sessions.top_categories(matched))
 
 

@@ -88,7 +88,7 @@ def qa_hierarchy(spark, folder):
 @query("coalesced_write", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 450000")
 def coalesced_write(spark, folder):
     rare = table(spark, folder, "orders").where("o_totalprice > 450000").select("o_orderkey", "o_totalprice")
-    return organize.small_files_joined(rare, 2)
+    return organize.in_few_files(rare)
 
 
 _AGAINST = """counts AS (SELECT o_custkey AS user_id, count(*) AS posts FROM orders GROUP BY 1),

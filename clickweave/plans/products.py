@@ -28,7 +28,7 @@ LEVELS = {"ASIA": "A Level", "EUROPE": "A Level", "AMERICA": "B Level", "AFRICA"
 )
 def area_top3_product(spark, folder):
     return area_top_products(
-        views.actions(spark, folder, FIRST, LAST),
+        views.actions(spark, folder, FIRST, LAST, kind="click"),
         views.cities(spark, folder),
         views.products(spark, folder),
         LEVELS,

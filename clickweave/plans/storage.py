@@ -155,7 +155,8 @@ _WORDS = "[" + ", ".join(f"'{w}'" for w in RECORD_WORDS) + "]"
     f"""SELECT o_orderkey AS seed, {sql_hash_number('k')} % 1000000000 AS "Id", {sql_hash_number('k', 1)} % 100000000 AS "PostId",
         {sql_hash_number('k', 2)} % 15000 AS "Score", {sql_hash_number('k', 3)} % 1000000 AS "UserId",
         array_to_string(list_transform(range(1, {sql_hash_number("'size|' || k")} % 30 + 2),
-            lambda i: {_WORDS}[{sql_hash_number("i || '|' || k")} % {len(RECORD_WORDS)} + 1]), ' ') AS "Text",
+            lambda i: {_WORDS}[({sql_hash_number("'text|' || k")} + i * {sql_hash_number("'text|' || k", 1)})
+            % {readers.PRIME} * {readers.SPREAD} % {readers.PRIME} % {len(RECORD_WORDS)} + 1]), ' ') AS "Text",
         TIMESTAMP '2010-01-01 00:00:00' + to_seconds({sql_hash_number("'date|' || k")} % 100000000) AS "CreationDate"
     FROM (SELECT o_orderkey, '9|' || o_orderkey AS k FROM orders)""",
 )

@@ -46,9 +46,13 @@ def action_columns(events: DataFrame) -> DataFrame:
     )
 
 
-def actions(spark: SparkSession, folder: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Actions, between two days (both included) if given; the range is put on ``ts`` so the scan can skip."""
+def actions(
+    spark: SparkSession, folder: str, first: str | None = None, last: str | None = None, kind: str | None = None
+) -> DataFrame:
+    """Actions, between two days (both included) or of one kind if given; both reach the scan."""
     events = table(spark, folder, "events")
+    if kind is not None:
+        events = events.where(F.col("event_type") == kind)
     if first is not None:
         events = events.where(F.col("ts") >= ntz(first))
     if last is not None:

@@ -107,6 +107,7 @@ def good_students(students: DataFrame, scores: DataFrame, over: int) -> DataFram
 
 # Ranges of a random record.
 SCORES, ROW_IDS, POST_IDS, USER_IDS, MOST_WORDS = 15_000, 1_000_000_000, 100_000_000, 1_000_000, 30
+PRIME, SPREAD = 2_147_483_647, 48_271  # of a multiplicative generator, for the words
 
 
 def random_records(seeds: DataFrame, seed_column: str, words: Sequence[str], start: str, seed: int = 0) -> DataFrame:
@@ -117,9 +118,10 @@ def random_records(seeds: DataFrame, seed_column: str, words: Sequence[str], sta
     key = F.concat_ws("|", F.lit(seed), F.col(seed_column))
     pool = F.array(*[F.lit(w) for w in words])
     size = hash_number(F.lit("size"), key) % MOST_WORDS + 1
+    first, step = hash_number(F.lit("text"), key), hash_number(F.lit("text"), key, offset=1)
     picks = F.transform(
         F.sequence(F.lit(1).cast("long"), size),
-        lambda i: F.element_at(pool, (hash_number(i.cast("string"), key) % len(words) + 1).cast("int")),
+        lambda i: F.element_at(pool, ((first + i * step) % PRIME * SPREAD % PRIME % len(words) + 1).cast("int")),
     )
     moment = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(secs=(hash_number(F.lit("date"), key) % 100_000_000).cast("decimal(18,6)"))
     return seeds.select(
