@@ -117,12 +117,21 @@ def random_records(seeds: DataFrame, seed_column: str, words: Sequence[str], sta
     """
     key = F.concat_ws("|", F.lit(seed), F.col(seed_column))
     pool = F.array(*[F.lit(w) for w in words])
-    size = hash_number(F.lit("size"), key) % MOST_WORDS + 1
-    first, step = hash_number(F.lit("text"), key), hash_number(F.lit("text"), key, offset=1)
-    picks = F.transform(
-        F.sequence(F.lit(1).cast("long"), size),
-        lambda i: F.element_at(pool, ((first + i * step) % PRIME * SPREAD % PRIME % len(words) + 1).cast("int")),
+    draw = F.struct(
+        (hash_number(F.lit("size"), key) % MOST_WORDS + 1).alias("size"),
+        hash_number(F.lit("text"), key).alias("first"),
+        hash_number(F.lit("text"), key, offset=1).alias("step"),
     )
+
+    def words_of(d: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1).cast("long"), d["size"]),
+            lambda i: F.element_at(
+                pool, ((d["first"] + i * d["step"]) % PRIME * SPREAD % PRIME % len(words) + 1).cast("int")
+            ),
+        )
+
+    picks = F.flatten(F.transform(F.array(draw), words_of))  # a list of one, so that a draw is hashed once
     moment = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(secs=(hash_number(F.lit("date"), key) % 100_000_000).cast("decimal(18,6)"))
     return seeds.select(
         F.col(seed_column).alias("seed"),

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}  # folders of local sessions without the setting
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -17,9 +18,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="clickweave-")
-    spark.conf.set(_SETTING, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="clickweave-")
+    return _local_roots[app]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
