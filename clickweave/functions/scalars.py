@@ -84,11 +84,11 @@ def with_packed_field(text: Column | str, name: str, value: Column | str) -> Col
 
 
 def unescape_named(text: Column | str) -> Column:
-    """The five named entities as characters, in JVM code."""
+    """The five named entities as characters, in JVM code; text without an ampersand is left alone."""
     out = _col(text)
     for entity, char in NAMED_ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    return F.when(F.contains(_col(text), F.lit("&")), out).otherwise(_col(text))
 
 
 @F.pandas_udf(T.StringType())
@@ -117,3 +117,8 @@ def json_field(text: Column | str, name: str) -> Column:
 
 def net_of(amount: Column | str, share: Column) -> Column:
     return _col(amount) * (1 - share)
+
+
+def words_of(text: Column | str) -> Column:
+    """Words between blanks and line ends, empty ones included."""
+    return F.split(text, "[ \n]")

@@ -28,7 +28,8 @@ def tfidf(df: DataFrame, row_id: str, words: Column) -> DataFrame:
     total = df.agg(F.count("*")).scalar()
     terms = df.select(row_id, F.explode(words).alias("term")).where("term <> ''")
     tf = terms.groupBy(row_id, "term").agg(F.count("*").alias("tf"))
-    found = tf.groupBy("term").agg(F.count("*").alias("df"))
+    # Counting on ``tf`` keeps the plan of ``tf`` whole, so its shuffle is made once and read twice.
+    found = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = found.select("term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
     return tf.join(idf, "term").select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 

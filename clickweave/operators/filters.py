@@ -49,10 +49,16 @@ class BloomShape:
         return cls(bits, max(1, round(bits / n * math.log(2)) if n else 1))
 
 
-def _two_hashes(digest: Column) -> Column:
-    """Two 32-bit numbers from one md5, for double hashing."""
-    words = [F.conv(F.substring(digest, start, 8), 16, 10).cast("long") for start in (1, 9)]
-    return F.struct(words[0].alias("a"), words[1].alias("b"))
+HALF = 2**30  # of the 60 bits of a digest that are used
+
+
+def _number(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def _halves(number: Column) -> Column:
+    """Two 30-bit numbers from one hash, for double hashing."""
+    return F.struct(F.pmod(number, F.lit(HALF)).alias("a"), F.shiftright(number, 30).alias("b"))
 
 
 def _steps(shape: BloomShape) -> Column:
@@ -65,7 +71,7 @@ def _bit_of(hashes: Column, step: Column, shape: BloomShape) -> Column:
 
 def bloom_words(words: DataFrame, column: str, shape: BloomShape) -> DataFrame:
     """The filter as a one-row table: an array of 64-bit words. Bits are OR-ed map-side."""
-    hashed = words.select(F.md5(column).alias("digest")).distinct().select(_two_hashes(F.col("digest")).alias("h"))
+    hashed = words.select(_number(F.md5(column)).alias("n")).distinct().select(_halves(F.col("n")).alias("h"))
     bits = hashed.select(F.explode(F.transform(_steps(shape), lambda i: _bit_of(F.col("h"), i, shape))).alias("bit"))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
     filled = bits.groupBy(F.floor(F.col("bit") / 64).alias("slot")).agg(F.bit_or(one).alias("word"))
@@ -83,7 +89,7 @@ def any_in_bloom(tokens: Column, filter_words: Column, shape: BloomShape) -> Col
         return F.call_function("shiftright", word, (position % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
     digests = F.transform(F.array_distinct(tokens), lambda t: F.md5(t))
-    hashes = F.transform(digests, _two_hashes)
+    hashes = F.transform(F.transform(digests, _number), _halves)
     return F.exists(hashes, lambda h: F.forall(_steps(shape), lambda i: is_set(_bit_of(h, i, shape))))
 
 

@@ -19,9 +19,8 @@ UNKNOWN, NULL_OR_EMPTY = "Unknown", "Null or Empty"
 
 def clean_words(text: Column | str) -> Column:
     """Words of escaped text: lower case, entities undone, quotes dropped, other non-letters as blanks."""
-    plain = unescape_named(F.lower(text))
-    letters = F.regexp_replace(F.replace(plain, F.lit("'"), F.lit("")), "[^a-zA-Z]", " ")
-    return F.split(letters, " +")
+    plain = F.replace(unescape_named(F.lower(text)), F.lit("'"), F.lit(""))
+    return F.split(plain, "[^a-zA-Z]+")
 
 
 def word_counts(df: DataFrame, words: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from clickweave.functions.scalars import words_of
 from clickweave.operators import features
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
@@ -22,12 +23,12 @@ def tfidf_hashing(spark, folder):
     SELECT doc_id, term, tf, round(tf * idf, 6) AS tfidf FROM tf JOIN idf USING (term)""",
 )
 def tfidf_sql(spark, folder):
-    scored = features.tfidf(table(spark, folder, "documents"), "doc_id", F.split(F.lower("text"), "[ \n]"))
+    scored = features.tfidf(table(spark, folder, "documents"), "doc_id", words_of(F.lower("text")))
     return scored.withColumn("tfidf", F.round("tfidf", 6))
 
 
 @query("word2vec_docs")
 def word2vec_docs(spark, folder):
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", F.split("text", "[ \n]").alias("words"))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", words_of("text").alias("words"))
     vectors = features.document_vectors(turns, "words")
     return vectors.select("conv_id", "turn", features.as_array("features").alias("features"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickweave.functions.hashing import sql_hash_number
+from clickweave.functions.scalars import words_of
 from clickweave.operators import joins, skew
 from clickweave.operators.pairs import common_word_pairs
 from clickweave.plans import views
@@ -109,7 +110,7 @@ def join_bloom_prefilter(spark, folder):
     SELECT left_text, right_text, array_to_string(list_sort(shared), ',') AS words, n FROM pairs WHERE len(shared) >= 3""",
 )
 def join_common_words(spark, folder):
-    return common_word_pairs(table(spark, folder, "benchmark"), "text", F.split("text", "[ \n]"))
+    return common_word_pairs(table(spark, folder, "benchmark"), "text", words_of("text"))
 
 
 MAX_LIST = 40

@@ -164,7 +164,7 @@ _HOT_WORDS = f"""hot AS (SELECT DISTINCT word FROM (SELECT unnest(string_split(r
 
 
 def _hot_words(spark, folder):
-    words = table(spark, folder, "benchmark").select(F.explode(F.split("text", "[ \n]")).alias("word"))
+    words = table(spark, folder, "benchmark").select(F.explode(scalars.words_of("text")).alias("word"))
     return words.where(F.length("word") >= WORD_LENGTH)
 
 
@@ -173,8 +173,8 @@ def _hot_words(spark, folder):
     f"""WITH {_HOT_WORDS},
     shape AS (SELECT bits, greatest(1, CAST(round(bits / n * ln(2)) AS BIGINT)) AS hashes FROM (
         SELECT n, CAST(ceil(-n * ln({BLOOM_RATE}) / (ln(2) * ln(2))) AS BIGINT) AS bits FROM (SELECT count(*) AS n FROM hot))),
-    all_words AS (SELECT word, {sql_hash_number('word')} AS a, {sql_hash_number('word', 1)} AS b
-        FROM (SELECT word FROM hot UNION SELECT word FROM doc_words)),
+    all_words AS (SELECT word, h % {filters.HALF} AS a, h // {filters.HALF} AS b FROM (SELECT word,
+        CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) AS h FROM (SELECT word FROM hot UNION SELECT word FROM doc_words))),
     bits AS (SELECT word, (a + i * b) % bits AS bit FROM
         (SELECT word, a, b, bits, unnest(range(hashes)) AS i FROM all_words, shape)),
     member AS (SELECT word FROM bits GROUP BY word
@@ -185,7 +185,7 @@ def _hot_words(spark, folder):
 def bloom_filter_docs(spark, folder):
     documents = table(spark, folder, "documents")
     kept = filters.keep_by_bloom(
-        documents, F.split("text", "[ \n]"), _hot_words(spark, folder), "word", BLOOM_RATE, "doc_id"
+        documents, scalars.words_of("text"), _hot_words(spark, folder), "word", BLOOM_RATE, "doc_id"
     )
     return kept.select("doc_id", "n_chars")
 
@@ -197,7 +197,7 @@ def bloom_filter_docs(spark, folder):
 )
 def semi_filter_exact(spark, folder):
     documents = table(spark, folder, "documents")
-    kept = filters.keep_by_join(documents, F.split("text", "[ \n]"), _hot_words(spark, folder), "word", "doc_id")
+    kept = filters.keep_by_join(documents, scalars.words_of("text"), _hot_words(spark, folder), "word", "doc_id")
     return kept.select("doc_id", "n_chars")
 
 

@@ -18,13 +18,17 @@ def _log(spark, label, schema, keys):
     return BatchLog(spark, fresh_dir(spark, label), schema, keys)
 
 
+def _table_stream(spark, folder, name):
+    return feeds.table_stream(spark, folder, name, views.TABLES[name])
+
+
 _PLAIN_WORDS = "SELECT unnest(string_split(text, ' ')) AS word FROM documents"
 
 
 @query("st_file_wordcount", f"SELECT word, count(*) AS n FROM ({_PLAIN_WORDS}) WHERE word <> '' GROUP BY 1")
 def st_file_wordcount(spark, folder):
     log = _log(spark, "words", "word string, n long", ["word"])
-    stream = feeds.table_stream(spark, folder, "documents")
+    stream = _table_stream(spark, folder, "documents")
     words.count_per_batch(stream, F.split("text", " "), log, fresh_dir(spark, "checkpoint"))
     return log.totals()
 
@@ -92,7 +96,7 @@ def _searches(stream):
 @query("st_window_counts", f"WITH {_SEARCHES}, {_WINDOW_COUNTS} SELECT * FROM counts")
 def st_window_counts(spark, folder):
     log = _log(spark, "windows", "window_start timestamp_ntz, word string, n long", ["window_start", "word"])
-    stream = _searches(feeds.table_stream(spark, folder, "events"))
+    stream = _searches(_table_stream(spark, folder, "events"))
     counts = words.windowed_counts(stream, "ts", ["word"], "60 seconds", "10 seconds", "10 minutes")
     feeds.each_batch(counts, log.write, fresh_dir(spark, "checkpoint"), "update")
     return log.latest()
@@ -133,7 +137,7 @@ def st_top3_product(spark, folder):
     log = _log(spark, "product-windows", schema, ["window_start", "category_id", "product_id"])
     top = _log(spark, "product-top", f"{schema}, rank int", ["window_start", "category_id", "rank"])
     k = F.get_json_object("props", "$.k").cast("int")
-    clicks = feeds.table_stream(spark, folder, "events").where("event_type = 'click'").select(
+    clicks = _table_stream(spark, folder, "events").where("event_type = 'click'").select(
         "ts", (k % 5).alias("category_id"), (F.col("event_id") % 100).alias("product_id")
     )
     counts = words.windowed_counts(clicks, "ts", ["category_id", "product_id"], "60 seconds", "10 seconds", "10 minutes")
@@ -147,7 +151,7 @@ def st_top3_product(spark, folder):
 )
 def st_blacklist_static(spark, folder):
     listed = table(spark, folder, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("user_id"))
-    stream = feeds.table_stream(spark, folder, "events").select("event_id", "user_id")
+    stream = _table_stream(spark, folder, "events").select("event_id", "user_id")
     out = fresh_dir(spark, "kept")
     words.append_files(words.without_listed(stream, listed, "user_id"), out, fresh_dir(spark, "checkpoint"))
     return spark.read.schema("event_id long, user_id long").parquet(out)

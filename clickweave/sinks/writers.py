@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickweave.workspace import fresh_dir, fresh_name
@@ -68,7 +69,6 @@ class BatchLog:
         self.spark, self.path, self.keys = spark, path, list(keys)
         self.schema = T.StructType.fromDDL(schema)
         self.values = [f.name for f in self.schema if f.name not in self.keys]
-        spark.createDataFrame([], self.schema).write.mode("append").parquet(f"{path}/batch_id=-1")
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
@@ -76,7 +76,12 @@ class BatchLog:
 
     def rows(self) -> DataFrame:
         schema = T.StructType([*self.schema, T.StructField("batch_id", T.LongType())])
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        try:
+            return self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # no batch yet
 
     def before(self, batch_id: int) -> DataFrame:
         """Rows of earlier batches, only their folders read."""

@@ -63,7 +63,8 @@ def handle_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: i
     tables.ad_stat.write(kept.groupBy("date", "province", "city", "ad_id").agg(F.count("*").alias("clicks")), batch_id)
     per_province = tables.ad_stat.rows().where(in_range).groupBy("date", "province", "ad_id").agg(F.sum("clicks").alias("clicks"))
     best = top_per_group(per_province, ["date", "province"], [F.desc("clicks"), F.asc("ad_id")], n)
-    replace_partitions(best, tables.province_top, ["date", "province"])
+    # The ranking covers every province of its dates, so whole dates are replaced.
+    replace_partitions(best, tables.province_top, ["date"])
 
 
 def ad_job(stream: DataFrame, tables: AdTables, threshold: int, checkpoint: str) -> None:

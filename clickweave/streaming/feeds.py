@@ -19,9 +19,8 @@ def files(spark: SparkSession, path: str, schema, format: str = "parquet", **opt
     return spark.readStream.schema(schema).format(format).options(**options).load(path)
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table as a stream; the pattern matches a single file as well as a folder of files."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+def table_stream(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """A table in Parquet as a stream; the pattern matches a single file as well as a folder of files."""
     return files(spark, f"{folder}/{name}.parque[t]", schema)
 
 

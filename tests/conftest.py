@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
@@ -48,4 +48,4 @@ def final_plan(df):
 
 def rows(df, *columns):
     picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.toLocalIterator()), key=repr)
+    return sorted((tuple(r) for r in picked.collect()), key=repr)
