@@ -38,15 +38,18 @@ MAX_BITS = 64 * 1024 * 1024
 
 @dataclass(frozen=True)
 class BloomShape:
-    """Size of a Bloom filter for ``n`` words and false-positive rate ``p``."""
+    """Size of a Bloom filter, and the lengths of its words: a word of another length is no member."""
 
     bits: int
     hashes: int
+    shortest: int = 0
+    longest: int = 2**31 - 1
 
     @classmethod
-    def best(cls, n: int, p: float) -> "BloomShape":
+    def best(cls, n: int, p: float, shortest: int | None = None, longest: int | None = None) -> "BloomShape":
+        """The size for ``n`` words and false-positive rate ``p``."""
         bits = max(1, math.ceil(-n * math.log(p) / math.log(2) ** 2))
-        return cls(bits, max(1, round(bits / n * math.log(2)) if n else 1))
+        return cls(bits, max(1, round(bits / n * math.log(2)) if n else 1), shortest or 0, longest or 0)
 
 
 HALF = 2**30  # of the 60 bits of a digest that are used
@@ -88,7 +91,8 @@ def any_in_bloom(tokens: Column, filter_words: Column, shape: BloomShape) -> Col
         word = F.get(filter_words, F.floor(position / 64).cast("int"))
         return F.call_function("shiftright", word, (position % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
-    digests = F.transform(F.array_distinct(tokens), lambda t: F.md5(t))
+    likely = F.filter(tokens, lambda t: F.length(t).between(shape.shortest, shape.longest))
+    digests = F.transform(F.array_distinct(likely), lambda t: F.md5(t))
     hashes = F.transform(F.transform(digests, _number), _halves)
     return F.exists(hashes, lambda h: F.forall(_steps(shape), lambda i: is_set(_bit_of(h, i, shape))))
 
@@ -100,8 +104,9 @@ def keep_by_bloom(df: DataFrame, tokens: Column, words: DataFrame, column: str,
     read by every task as a constant; beyond that the exact join takes its place (no false positives).
     """
     distinct = words.select(column).distinct()
-    n = distinct.count()
-    shape = BloomShape.best(n, p)
+    length = F.length(column)
+    n, shortest, longest = distinct.agg(F.count("*"), F.min(length), F.max(length)).first()
+    shape = BloomShape.best(n, p, shortest, longest)
     if shape.bits > MAX_BITS:
         return keep_by_join(df, tokens, words, column, row_id)
     bits = stored(bloom_words(distinct, column, shape), "bloom")

@@ -22,12 +22,8 @@ _IN_PARTITION_BITS = 33  # layout of monotonically_increasing_id
 
 def sorted_run(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None) -> DataFrame:
     """Total-order sort: range partitions, each sorted, with ``_part`` and ``_row`` marking the place."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    run = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    run = ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
     run = stored(run, "run")
     return run.select(
         *df.columns,

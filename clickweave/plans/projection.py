@@ -174,7 +174,8 @@ def _hot_words(spark, folder):
     shape AS (SELECT bits, greatest(1, CAST(round(bits / n * ln(2)) AS BIGINT)) AS hashes FROM (
         SELECT n, CAST(ceil(-n * ln({BLOOM_RATE}) / (ln(2) * ln(2))) AS BIGINT) AS bits FROM (SELECT count(*) AS n FROM hot))),
     all_words AS (SELECT word, h % {filters.HALF} AS a, h // {filters.HALF} AS b FROM (SELECT word,
-        CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) AS h FROM (SELECT word FROM hot UNION SELECT word FROM doc_words))),
+        CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) AS h FROM (SELECT word FROM hot UNION SELECT word FROM doc_words
+            WHERE length(word) BETWEEN (SELECT min(length(word)) FROM hot) AND (SELECT max(length(word)) FROM hot)))),
     bits AS (SELECT word, (a + i * b) % bits AS bit FROM
         (SELECT word, a, b, bits, unnest(range(hashes)) AS i FROM all_words, shape)),
     member AS (SELECT word FROM bits GROUP BY word

@@ -83,7 +83,7 @@ def st_running_count_sink(spark, folder):
 _SEARCHES = """searches AS (SELECT ts, 'kw' || (CAST(json_extract_string(props, '$.k') AS INTEGER) % 10) AS word FROM events
     WHERE event_type = 'view')"""
 # 60-second windows that start every 10 seconds: each row is in six of them.
-_WINDOWS = """(SELECT to_timestamp(floor(epoch_us(ts) / 10000000) * 10 - 10 * i)::TIMESTAMP AS window_start, *
+_WINDOWS = """(SELECT make_timestamp((epoch_us(ts) // 10000000 - i) * 10000000) AS window_start, *
     FROM {0}, (SELECT unnest(range(6)) AS i))"""
 _WINDOW_COUNTS = f"""counts AS (SELECT window_start, word, count(*) AS n FROM {_WINDOWS.format('searches')} GROUP BY 1, 2)"""
 
