@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, time, timedelta
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -63,15 +63,14 @@ def replay(rows: DataFrame, ts: str, days: int, run: Callable[[str], None]) -> N
     """
     spark = rows.sparkSession
     incoming = fresh_dir(spark, "incoming")
-    first, last = rows.agg(F.min(ts), F.max(ts)).first()
-    if first is None:
+    start, last = rows.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
+    if start is None:
         rows.write.mode("append").parquet(incoming)
         return run(incoming)
-    start = datetime.combine(first.date(), time())
+    kind = rows.schema[ts].dataType
     while start <= last:
         end = start + timedelta(days=days)
-        kind = rows.schema[ts].dataType
-        low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
+        low, high = (F.lit(day.isoformat()).cast(kind) for day in (start, end))
         rows.where((F.col(ts) >= low) & (F.col(ts) < high)).write.mode("append").parquet(incoming)
         run(incoming)
         start = end
