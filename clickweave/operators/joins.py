@@ -7,18 +7,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.operators.skew import hot_keys, is_any, with_segment
+from clickweave.operators.skew import hot_keys, is_any, join_keyed, with_segment
 from clickweave.workspace import fresh_dir, fresh_name
 
 
 def without_partner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; a null key has no partner."""
-    return left.join(right.select(*on).distinct(), list(on), "left_anti")
+    return join_keyed(left, right.select(*on).distinct(), on, "left_anti")
 
 
 def with_partner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key is in ``right``, each once."""
-    return left.join(right.select(*on).distinct(), list(on), "left_semi")
+    return join_keyed(left, right.select(*on).distinct(), on, "left_semi")
 
 
 def inner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

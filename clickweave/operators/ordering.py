@@ -9,12 +9,11 @@ per-partition side tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickweave.functions.hashing import salt
+from clickweave.operators.skew import join_keyed
 from clickweave.workspace import stored
 
 _IN_PARTITION_BITS = 33  # layout of monotonically_increasing_id
@@ -57,12 +56,16 @@ def rank_in_group(
 ) -> DataFrame:
     """``row_number() over (partition by keys order by ...)`` for groups of any size."""
     placed = _with_position(sorted_run(df, [*keys, *order], partitions), "_position")
-    names = [f"_key{i}" for i in range(len(keys))]
-    firsts = placed.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.min("_position").alias("_first"))
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
-    return placed.join(firsts, reduce(and_, same)).select(
-        *df.columns, (F.col("_position") - F.col("_first") + 1).alias(name)
-    )
+    firsts = placed.groupBy(*keys).agg(F.min("_position").alias("_first"))
+    ranked = _join_firsts(placed, firsts, keys)
+    return ranked.select(*df.columns, (F.col("_position") - F.col("_first") + 1).alias(name))
+
+
+def _join_firsts(placed: DataFrame, firsts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the first position of their group; null is a group too, so keys are joined as structs."""
+    left = placed.withColumn("_group", F.struct(*keys))
+    right = firsts.select(F.struct(*keys).alias("_group"), "_first")
+    return join_keyed(left, right, ["_group"])
 
 
 def with_previous(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.functions.hashing import hash_bucket
+from clickweave.operators.skew import join_keyed
+from clickweave.workspace import stored
 
 
 def common_word_pairs(texts: DataFrame, text: str, tokens: Column, least: int = 3, block: int = 1000) -> DataFrame:
@@ -17,15 +19,16 @@ def common_word_pairs(texts: DataFrame, text: str, tokens: Column, least: int =
     * The rows of one token are cut into blocks of about ``block``; each pair of blocks is a join key
       of its own, so no task holds more than one pair of blocks of one token.
     """
-    folded = (
+    folded = stored(
         texts.groupBy(F.col(text).alias("text"))
         .agg(F.count("*").alias("copies"))
-        .select("text", "copies", F.md5("text").alias("id"), F.array_distinct(tokens).alias("tokens"))
+        .select("text", "copies", F.md5("text").alias("id"), F.array_distinct(tokens).alias("tokens")),
+        "texts",
     )
     words = folded.select("id", F.explode("tokens").alias("token"))
     counts = words.groupBy("token").agg(F.count("*").alias("df"))
     ranked = (
-        words.join(counts, "token")
+        join_keyed(words, counts, ["token"])
         .groupBy("id")
         .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_df"))
         .where(F.size("by_df") >= least)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickweave.functions.scalars import seconds_between
 from clickweave.operators.aggregates import counts_per_kind, id_list, one_id
+from clickweave.operators.joins import with_partner
 from clickweave.operators.ordering import top_per_group, top_rows
 from clickweave.workspace import stored
 
@@ -117,7 +118,7 @@ def stratified_extract(sessions: DataFrame, total: int) -> DataFrame:
 
 def details(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """All actions of the given sessions."""
-    return actions.join(sessions.select("session_id").distinct(), "session_id", "left_semi")
+    return with_partner(actions, sessions, ["session_id"])
 
 
 def category_counts(actions: DataFrame) -> DataFrame:

@@ -34,6 +34,26 @@ def split_join(
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
+def join_keyed(
+    big: DataFrame, keyed: DataFrame, on: Sequence[str], how: str = "inner", share: float = 0.01, salts: int = 32
+) -> DataFrame:
+    """Join ``big`` with a side that has one row per key; ``how``: inner, left, left_semi or left_anti.
+
+    A side fresh from an aggregation is already clustered by the key, and then no partition of the join
+    can be split at run time. So hot keys of ``big`` (null among them) are spread here: their rows get a
+    salt, and the one row of the other side is copied to each.
+    """
+    on = list(on)
+    hot = hot_keys(big.select(F.xxhash64(*on).alias("_key")), "_key", share)
+    if not hot:
+        return big.join(keyed, on, how)
+    is_hot = F.xxhash64(*on).isin(hot)
+    left = big.withColumn("_salt", F.when(is_hot, salt(salts, *big.columns)).otherwise(F.lit(0)))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = keyed.withColumn("_salt", F.explode(copies))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, row_id: Sequence[str], salts: int = 10) -> DataFrame:
     """Inner join with every key of ``big`` spread over ``salts`` tasks and ``small`` copied ``salts`` times."""
     left = big.withColumn("_salt", salt(salts, *row_id))
@@ -63,6 +83,6 @@ def with_segment(
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / max_rows).alias("_segments"))
     ids = [row_id] if isinstance(row_id, str) else row_id
     number = F.when(F.col("_segments") <= 1, F.lit(0)).otherwise(hash_bucket(F.col("_segments"), *ids))
-    numbered = df.join(sizes, list(keys)).withColumn(name, number).drop("_segments")
+    numbered = join_keyed(df, sizes, keys).withColumn(name, number).drop("_segments")
     # The join leaves rows clustered by the keys alone; without this, a hot group would stay in one task.
     return numbered.repartition(*keys, name)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.functions.scalars import unescape_named
 from clickweave.operators.skew import with_segment
+from clickweave.workspace import stored
 
 # State abbreviations looked for in a location text.
 STATES = (
@@ -44,7 +45,7 @@ def first_known(text: Column | str, known: Sequence[str] = STATES) -> Column:
 def link_index(pages: DataFrame, page_id: str, body: str, pattern: str, max_ids: int = 100_000) -> DataFrame:
     """Link -> ids of the pages that hold it, space-joined. A link on very many pages has several segments."""
     links = F.array_distinct(F.regexp_extract_all(unescape_named(F.lower(body)), F.lit(pattern), F.lit(1)))
-    hits = pages.where(F.col(body).isNotNull()).select(page_id, F.explode(links).alias("link"))
+    hits = stored(pages.where(F.col(body).isNotNull()).select(page_id, F.explode(links).alias("link")), "links")
     return (
         with_segment(hits, ["link"], page_id, max_ids)
         .groupBy("link", "segment")

@@ -152,9 +152,9 @@ def st_top3_product(spark, folder):
 def st_blacklist_static(spark, folder):
     listed = table(spark, folder, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("user_id"))
     stream = _table_stream(spark, folder, "events").select("event_id", "user_id")
-    out = fresh_dir(spark, "kept")
-    words.append_files(words.without_listed(stream, listed, "user_id"), out, fresh_dir(spark, "checkpoint"))
-    return spark.read.schema("event_id long, user_id long").parquet(out)
+    log = _log(spark, "kept", "event_id long, user_id long", ["event_id"])
+    words.drop_listed(stream, listed, "user_id", log, fresh_dir(spark, "checkpoint"))
+    return log.rows().select("event_id", "user_id")
 
 
 _BATCHES = f"""numbered AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date,

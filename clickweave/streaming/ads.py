@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickweave.operators.joins import without_partner
 from clickweave.operators.ordering import top_per_group
 from clickweave.sinks.writers import BatchLog, replace_partitions
 from clickweave.streaming.feeds import each_batch
@@ -47,7 +48,7 @@ def handle_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: i
     """
     dated = batch.withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
     listed = tables.blacklist.before(batch_id).select("user_id").distinct()
-    tables.kept.write(dated.join(listed, "user_id", "left_anti"), batch_id)
+    tables.kept.write(without_partner(dated, listed, ["user_id"]), batch_id)
     kept = tables.kept.rows().where(F.col("batch_id") == batch_id)
     low, high = kept.agg(F.min("date"), F.max("date")).first()
     if low is None:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickweave.operators.joins import without_partner
 from clickweave.operators.ordering import top_per_group
 from clickweave.operators.text import word_counts
 from clickweave.sinks.writers import BatchLog
@@ -56,9 +57,9 @@ def windowed_top(
     each_batch(counts, handle, checkpoint, "update")
 
 
-def without_listed(stream: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in a static table."""
-    return stream.join(listed.select(key).distinct(), key, "left_anti")
+def drop_listed(stream: DataFrame, listed: DataFrame, key: str, log: BatchLog, checkpoint: str) -> None:
+    """Rows whose key is not in a static table; each batch is an anti join that spreads hot keys."""
+    each_batch(stream, lambda batch, batch_id: log.write(without_partner(batch, listed, [key]), batch_id), checkpoint)
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> None:
