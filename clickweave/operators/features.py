@@ -6,7 +6,8 @@ from pyspark.ml.feature import IDF, HashingTF, Tokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.operators.skew import salted_join
+from clickweave.operators.skew import join_keyed
+from clickweave.workspace import stored
 
 
 def hashed_tfidf(df: DataFrame, text: str, features: int = 20) -> DataFrame:
@@ -24,16 +25,15 @@ def as_array(vector: str) -> Column:
 def tfidf(df: DataFrame, row_id: str, words: Column) -> DataFrame:
     """TF-IDF per (row, term): ``tf * ln((rows + 1) / (rows with the term + 1))``.
 
-    Both counts combine before the shuffle. A term that most rows hold is spread over the salts of the
-    join; the side with one row per term is the one copied.
+    Both counts combine before the shuffle. The term counts are stored, as they are read three times: for
+    the rows per term, for the terms that need spreading, and for the join.
     """
     total = df.agg(F.count("*")).scalar()
     terms = df.select(row_id, F.explode(words).alias("term")).where("term <> ''")
-    tf = terms.groupBy(row_id, "term").agg(F.count("*").alias("tf"))
-    # Counting on ``tf`` keeps the plan of ``tf`` whole, so its shuffle is made once and read twice.
-    found = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    tf = stored(terms.groupBy(row_id, "term").agg(F.count("*").alias("tf")), "terms")
+    found = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = found.select("term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
-    return salted_join(tf, idf, "term", [row_id], salts=16).select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    return join_keyed(tf, idf, ["term"]).select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def word_vectors(df: DataFrame, words: str, size: int = 3, min_count: int = 0, seed: int = 1, partitions: int | None = None):
