@@ -72,7 +72,7 @@ def bucketed(
     hot = is_any(key, hot_keys(left, key, share or 1.0 / buckets))
     names = []
     for label, side in (("left", left), ("right", right)):
-        name = fresh_name(f"bucketed_{label}")
+        name = fresh_name(spark, f"bucketed_{label}")
         (
             side.where(F.col(key).isNotNull() & ~hot)
             .write.bucketBy(buckets, key)

@@ -27,7 +27,7 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 def new_table(spark: SparkSession, label: str) -> tuple[str, str]:
     """Name and folder for a table of its own."""
-    name = fresh_name(label)
+    name = fresh_name(spark, label)
     return name, fresh_dir(spark, name)
 
 

@@ -1,10 +1,12 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from clickweave.sinks import writers
 from clickweave.sources import readers
-from clickweave.workspace import fresh_dir, shared_root
+from clickweave.workspace import fresh_dir, scope, shared_root, stored
 from conftest import plan, rows
 
 
@@ -106,17 +108,28 @@ def test_bad_json_strings_give_null(spark):
     assert rows(readers.json_strings(df, "j", "k int")) == [(1, 3), (2, None)]
 
 
-class _Cluster:
+class _Unset:
     class conf:
         @staticmethod
         def get(name, default=None):
-            return default
-
-    class sparkContext:
-        master = "yarn"
+            return "hdfs://shared/warehouse/" if name == "spark.sql.warehouse.dir" else default
 
 
-def test_a_cluster_must_name_its_shared_folder(spark):
-    with pytest.raises(RuntimeError):
-        shared_root(_Cluster)
+def test_intermediate_tables_go_to_a_shared_folder(spark):
+    assert shared_root(_Unset) == "hdfs://shared/warehouse"
     assert fresh_dir(spark, "x").startswith(shared_root(spark))
+
+
+def test_a_scope_leaves_nothing_behind(spark):
+    def there():
+        root = f"{shared_root(spark)}/clickweave"
+        folders = set(os.listdir(root)) if os.path.isdir(root) else set()
+        return folders, {t.name for t in spark.catalog.listTables()}
+
+    before = there()
+    with scope(spark):
+        name, path = writers.new_table(spark, "scoped")
+        writers.append_table(spark.range(3), name, path)
+        kept = stored(spark.table(name), "scoped")
+        assert kept.count() == 3 and there() != before
+    assert there() == before
