@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import chat_format, url_filter
+from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, url_filter
 from clickweave.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,6 +26,32 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op2_minimax_shards")
+def op2_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
+    sharded = minimax_shards.shard_by_bytes(table(spark, folder, "documents"), shards=8)
+    return sharded.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op3_vector_best_fit")
+def op3_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit.pack(table(spark, folder, "documents"), TOKENIZER, tokens=2048)
+
+
+@query(
+    "op4_mph_dedup",
+    """
+    WITH said AS (
+        SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+        FROM documents)
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id = max(doc_id) OVER same AS kept, text_sha256
+    FROM said WINDOW same AS (PARTITION BY text_sha256)
+    """,
+)
+def op4_mph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return mph_dedup.dedup(table(spark, folder, "documents"))
+
+
 # The rules that the contract of op6 names.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
