@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, url_filter
+from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, pfair_mix, quality, url_filter
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,3 +120,18 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("learned", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+# Target weights of the mixture; every other source has weight 1.
+MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0}
+
+
+@query("op7_pfair_mix")
+def op7_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return pfair_mix.mix(docs, MIX_WEIGHTS).select("row.doc_id", "source", "block", "slot", "position")
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
