@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, pfair_mix, quality, url_filter
+from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -135,3 +135,8 @@ def op7_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality")
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_chunk_dedup")
+def op10_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, folder, "documents"), words=50)
