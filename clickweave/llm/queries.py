@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter
+from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -140,3 +140,23 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_chunk_dedup")
 def op10_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, folder, "documents"), words=50)
+
+
+@query(
+    "op1_va_file",
+    """
+    WITH whole AS (
+        SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+            AND len([1 FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+            CAST(list_sum([CAST(a[1] * a[2] AS BIGINT) FOR a IN [[q.v[i], c.v[i]] FOR i IN range(1, len(q.v) + 1)]]) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op1_va_file(spark: SparkSession, folder: str) -> DataFrame:
+    return va_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
