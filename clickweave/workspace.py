@@ -71,9 +71,12 @@ def fresh_name(spark: SparkSession, label: str) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and go on from the files, so that lost executors never recompute it."""
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once and go on from the files, so that lost executors never recompute it.
+
+    ``path``, made by ``fresh_dir`` before a scope begins, outlives that scope.
+    """
     spark = df.sparkSession
-    path = fresh_dir(spark, label)
+    path = path or fresh_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
