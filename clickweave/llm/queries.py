@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, chat_format, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
+from clickweave.llm import best_fit, chat_format, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -160,3 +160,8 @@ def op10_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op1_va_file(spark: SparkSession, folder: str) -> DataFrame:
     return va_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op5_divide_skip")
+def op5_divide_skip(spark: SparkSession, folder: str) -> DataFrame:
+    return divide_skip.jaccard_components(table(spark, folder, "documents"), percent=80, words=5)
