@@ -21,7 +21,7 @@ HEADLINE = [
     "area_top3_product", "session_rollup", "session_stats", "session_extract", "top10_category", "top10_session",
     "page_convert_rate", "category_counts", "wordcount_clean", "inverted_index_links", "tfidf_sql", "bloom_filter_docs",
     "sum_by_key", "agg_salted", "daily_uv", "top3_per_category", "row_number_rank", "total_order_sort", "join_inner",
-    "join_full", "join_skew_split", "join_salted", "join_bucketed", "join_common_words", "hierarchy_order_lines",
+    "join_full", "join_skew_split", "join_salted", "join_bucketed", "hierarchy_order_lines",
     "group_values", "posts_vs_average", "src_xml_rows", "sink_upsert_add", "st_running_count", "st_user_ad_counts",
 ]
 

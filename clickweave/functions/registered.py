@@ -1,13 +1,11 @@
 """Named functions for use inside SQL text.
 
-Each is a SQL function over built-in expressions, so it is inlined by the optimiser. The two
-``pandas_udf`` forms show the same function on the Arrow path.
+Each is a SQL function over built-in expressions, so it is inlined by the optimiser.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession, functions as F
 
 SQL_FUNCTIONS = (
     "strLen(s STRING) RETURNS INT RETURN char_length(s)",
@@ -24,11 +22,6 @@ def register(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {definition}")
 
 
-@F.pandas_udf(T.IntegerType())
-def str_len(texts: pd.Series) -> pd.Series:
-    return texts.str.len().astype("Int32")
-
-
 def str_count(column: str):
     """Rows per group, nulls included."""
     return F.count(F.lit(1)).alias(column)

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import html
-from collections.abc import Iterator
+from html.entities import name2codepoint
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 # Grade limits and names, from best to worst.
 GRADES = ((90, "A"), (80, "B"), (70, "C"), (60, "D"))
 LOWEST_GRADE = "E"
 GOOD_FROM = 80
 
-# The five named entities of HTML text, ``&amp;`` last.
-NAMED_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+# The entity names of HTML 4, as the standard library lists them, and the apostrophe's of XML.
+ENTITIES = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"}
+LARGEST_CODE = 0x10FFFF
 
 # Date formats.
 DATE_HOUR, DATE_KEY, MINUTE_KEY = "yyyy-MM-dd_HH", "yyyyMMdd", "yyyyMMddHHmm"
@@ -83,19 +82,29 @@ def with_packed_field(text: Column | str, name: str, value: Column | str) -> Col
     return F.array_join(changed, "|")
 
 
-def unescape_named(text: Column | str) -> Column:
-    """The five named entities as characters, in JVM code; text without an ampersand is left alone."""
-    out = _col(text)
-    for entity, char in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.contains(_col(text), F.lit("&")), out).otherwise(_col(text))
-
-
-@F.pandas_udf(T.StringType())
-def unescape_html(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Every HTML entity as its character, by Arrow batch."""
-    for texts in batches:
-        yield texts.map(html.unescape, na_action="ignore")
+def _entity(name: Column) -> Column:
+    """The character of an entity without ``&`` and ``;``; null if there is none."""
+    digits = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
+    hexes = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,6})$", 1)
+    code = F.coalesce(F.when(digits != "", digits.cast("long")), F.when(hexes != "", F.conv(hexes, 16, 10).cast("long")))
+    sound = code.between(1, LARGEST_CODE) & ~code.between(0xD800, 0xDFFF)  # halves of a pair are no characters
+    char = F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    named = F.create_map(*[F.lit(x) for pair in sorted(ENTITIES.items()) for x in pair])
+    return F.coalesce(char, F.try_element_at(named, name))
+
+
+def unescape(text: Column | str) -> Column:
+    """Named and numeric HTML entities as characters; unknown ones stay. Text without an ampersand is left alone."""
+    parts = F.split(_col(text), "&")
+    name = lambda p: F.regexp_extract(p, "^(#?[0-9a-zA-Z]{1,9});", 1)
+    undone = F.transform(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        lambda p: F.coalesce(
+            F.when(name(p) != "", F.concat(_entity(name(p)), F.substring(p, F.length(name(p)) + 2, F.length(p)))), F.concat(F.lit("&"), p)
+        ),
+    )
+    whole = F.concat(F.get(parts, F.lit(0)), F.array_join(undone, ""))
+    return F.when(F.contains(_col(text), F.lit("&")), whole).otherwise(_col(text))
 
 
 def grade(score: Column | str) -> Column:

@@ -6,24 +6,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from clickweave.operators.skew import with_segment
-from clickweave.workspace import stored
+from clickweave.operators.ordering import rank_in_group
 
 
-def grouped_values(df: DataFrame, key: str, value: str, row_id: str, max_rows: int) -> DataFrame:
-    """All values of each key, sorted, in lists of about ``max_rows`` at most: one row per (key, segment)."""
-    return (
-        with_segment(df, [key], row_id, max_rows)
-        .groupBy(key, "segment")
-        .agg(F.sort_array(F.collect_list(value)).alias("values"))
-    )
+def grouped_values(df: DataFrame, key: str, value: str, row_id: str) -> DataFrame:
+    """All values of each key in long form, sorted: one row per (key, position)."""
+    rows = df.select(F.col(key), F.col(value).alias("value"), F.col(row_id).alias("_id"))
+    return rank_in_group(rows, [key], ["value", "_id"], "position").select(key, "position", "value")
 
 
-def observed(df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
-    """Run ``df`` once, counting ``metrics`` on the way: the stored rows and the counters."""
+def observed(df: DataFrame, metrics: Mapping[str, Column], path: str | None = None) -> dict:
+    """Write ``df`` to ``path``, counting ``metrics`` on the way; without a path the rows go nowhere."""
     counter = Observation()
-    rows = stored(df.observe(counter, *[column.alias(name) for name, column in metrics.items()]), "observed")
-    return rows, counter.get
+    rows = df.observe(counter, *[column.alias(name) for name, column in metrics.items()])
+    if path is None:
+        rows.write.format("noop").mode("overwrite").save()
+    else:
+        rows.write.parquet(path)
+    return counter.get
 
 
 def _no_hits() -> Column:

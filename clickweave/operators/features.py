@@ -22,32 +22,45 @@ def as_array(vector: str) -> Column:
     return vector_to_array(F.col(vector))
 
 
+HOT_TERMS = 1000
+
+
 def tfidf(df: DataFrame, row_id: str, words: Column) -> DataFrame:
     """TF-IDF per (row, term): ``tf * ln((rows + 1) / (rows with the term + 1))``.
 
-    Both counts combine before the shuffle. The term counts are stored, as they are read three times: for
-    the rows per term, for the terms that need spreading, and for the join.
+    Rows per term are counted from each row's distinct terms and combine before the shuffle. The most frequent
+    terms, which would gather in one task, are read off that table and their rows are spread in the join.
     """
     total = df.agg(F.count("*")).scalar()
-    terms = df.select(row_id, F.explode(words).alias("term")).where("term <> ''")
-    tf = stored(terms.groupBy(row_id, "term").agg(F.count("*").alias("tf")), "terms")
-    found = tf.groupBy("term").agg(F.count("*").alias("df"))
-    idf = found.select("term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
-    return join_keyed(tf, idf, ["term"]).select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    found = df.select(F.explode(F.array_distinct(words)).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+    idf = stored(found.select("term", "df", F.log((total + 1) / (F.col("df") + 1)).alias("idf")), "idf")
+    top = idf.orderBy(F.desc("df"), "term").limit(HOT_TERMS).where(F.col("df") * 100 > total)
+    hot = [r[0] for r in top.select(F.xxhash64("term")).collect()]
+    tf = df.select(row_id, F.explode(words).alias("term")).where("term <> ''").groupBy(row_id, "term").agg(F.count("*").alias("tf"))
+    joined = join_keyed(tf, idf.drop("df"), ["term"], row_id=[row_id], hot=hot)
+    return joined.select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
+BUCKETS = 1 << 16
+
+
+def bucketed_words(words: Column, buckets: int = BUCKETS) -> Column:
+    """Words as bucket names, so that a vocabulary never has more than ``buckets`` entries."""
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("string"))
 
 
-def word_vectors(df: DataFrame, words: str, size: int = 3, min_count: int = 0, seed: int = 1, partitions: int | None = None):
-    """Word2Vec model. Training runs over ``partitions`` tasks whose vectors are averaged each round.
+def word_vectors(df: DataFrame, words: str, size: int = 3, seed: int = 1, partitions: int = 8, buckets: int = BUCKETS):
+    """Word2Vec model over hashed words (see ``bucketed_words``).
 
-    The vocabulary has to fit the driver; ``min_count`` drops rare words from it.
+    Training runs over ``partitions`` tasks whose vectors are averaged each round. The vocabulary lies on the
+    driver, which is why it is bounded by ``buckets``.
     """
-    tasks = partitions or df.sparkSession.sparkContext.defaultParallelism
-    estimator = Word2Vec(
-        inputCol=words, outputCol="features", vectorSize=size, minCount=min_count, seed=seed, numPartitions=tasks
-    )
-    return estimator.fit(df.select(words))
+    estimator = Word2Vec(inputCol=words, outputCol="features", vectorSize=size, minCount=0, seed=seed, numPartitions=partitions)
+    return estimator.fit(df.select(bucketed_words(F.col(words), buckets).alias(words)))
 
 
-def document_vectors(df: DataFrame, words: str, **options) -> DataFrame:
-    """The mean of the vectors of each text's words."""
-    return word_vectors(df, words, **options).transform(df)
+def document_vectors(df: DataFrame, words: str, buckets: int = BUCKETS, **options) -> DataFrame:
+    """The mean of the vectors of each text's words, in ``features``."""
+    model = word_vectors(df, words, buckets=buckets, **options)
+    hashed = df.withColumn("_words", F.col(words)).withColumn(words, bucketed_words(F.col(words), buckets))
+    return model.transform(hashed).withColumn(words, F.col("_words")).drop("_words")

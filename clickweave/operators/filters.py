@@ -32,24 +32,18 @@ def well_formed(lines: DataFrame, column: str, fields: int, sep: str = ",") -> D
     return lines.where((F.size(parts) == fields) & (F.element_at(parts, -1) != ""))
 
 
-# A Bloom filter of at most this many bits is shipped to the tasks (8 MB); beyond it rows are joined.
-MAX_BITS = 64 * 1024 * 1024
-
-
 @dataclass(frozen=True)
 class BloomShape:
-    """Size of a Bloom filter, and the lengths of its words: a word of another length is no member."""
+    """Size of a Bloom filter. It comes from declared numbers alone, never from the words at hand."""
 
     bits: int
     hashes: int
-    shortest: int = 0
-    longest: int = 2**31 - 1
 
     @classmethod
-    def best(cls, n: int, p: float, shortest: int | None = None, longest: int | None = None) -> "BloomShape":
-        """The size for ``n`` words and false-positive rate ``p``."""
-        bits = max(1, math.ceil(-n * math.log(p) / math.log(2) ** 2))
-        return cls(bits, max(1, round(bits / n * math.log(2)) if n else 1), shortest or 0, longest or 0)
+    def best(cls, expected: int, rate: float) -> "BloomShape":
+        """The size for ``expected`` words and false-positive rate ``rate``; more words only raise the rate."""
+        bits = max(1, math.ceil(-expected * math.log(rate) / math.log(2) ** 2))
+        return cls(bits, max(1, round(bits / expected * math.log(2))))
 
 
 HALF = 2**30  # of the 60 bits of a digest that are used
@@ -85,31 +79,24 @@ def bloom_words(words: DataFrame, column: str, shape: BloomShape) -> DataFrame:
 
 
 def any_in_bloom(tokens: Column, filter_words: Column, shape: BloomShape) -> Column:
-    """True if all bits of at least one token are set. Each distinct token is hashed once."""
+    """True if all bits of at least one token are set."""
 
     def is_set(position: Column) -> Column:
         word = F.get(filter_words, F.floor(position / 64).cast("int"))
         return F.call_function("shiftright", word, (position % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
-    likely = F.filter(tokens, lambda t: F.length(t).between(shape.shortest, shape.longest))
-    digests = F.transform(F.array_distinct(likely), lambda t: F.md5(t))
-    hashes = F.transform(F.transform(digests, _number), _halves)
-    return F.exists(hashes, lambda h: F.forall(_steps(shape), lambda i: is_set(_bit_of(h, i, shape))))
+    halves = lambda t: _halves(_number(F.md5(t)))
+    return F.exists(F.array_distinct(tokens), lambda t: F.forall(_steps(shape), lambda i: is_set(_bit_of(halves(t), i, shape))))
 
 
-def keep_by_bloom(df: DataFrame, tokens: Column, words: DataFrame, column: str, p: float, row_id: str) -> DataFrame:
-    """Rows with any token in the Bloom filter of ``words``: all true members and a share ``p`` of others.
+def keep_by_bloom(df: DataFrame, tokens: Column, words: DataFrame, column: str, expected: int, rate: float) -> DataFrame:
+    """Rows with any token in the Bloom filter of ``words``: all true members and about a share ``rate`` of others.
 
-    The filter's size is known from the word count. Within ``MAX_BITS`` it is built once, stored and
-    read by every task as a constant; beyond that the exact join takes its place (no false positives).
+    The filter is built once, stored and read by every task as a constant. Its size is that of ``expected``
+    words, so it never grows with the data; with more words no member is lost, only the rate rises.
     """
-    distinct = words.select(column).distinct()
-    length = F.length(column)
-    n, shortest, longest = distinct.agg(F.count("*"), F.min(length), F.max(length)).first()
-    shape = BloomShape.best(n, p, shortest, longest)
-    if shape.bits > MAX_BITS:
-        return keep_by_join(df, tokens, words, column, row_id)
-    bits = stored(bloom_words(distinct, column, shape), "bloom")
+    shape = BloomShape.best(expected, rate)
+    bits = stored(bloom_words(words.select(column).distinct(), column, shape), "bloom")
     return (
         df.withColumn("_bloom", bits.scalar())
         .where(any_in_bloom(tokens, F.col("_bloom"), shape))

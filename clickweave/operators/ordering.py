@@ -17,6 +17,7 @@ from clickweave.operators.skew import join_keyed
 from clickweave.workspace import stored
 
 _IN_PARTITION_BITS = 33  # layout of monotonically_increasing_id
+CUT_BEFORE_SHUFFLE = 1000  # Spark's windowGroupLimitThreshold
 
 
 def sorted_run(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None) -> DataFrame:
@@ -108,9 +109,14 @@ def top_per_group(
     """The first ``n`` rows of each group.
 
     For a small constant ``n`` every task cuts its groups to ``n`` rows before the shuffle. Spark does so
-    up to ``windowGroupLimitThreshold`` (1000); for more, name the unique columns in ``spread``: each group
-    is then ranked in ``salts`` parts first, and only the first ``n`` of each part are ranked together.
+    up to ``windowGroupLimitThreshold``; beyond it ``spread`` must name unique columns, and a group of any size is
+    numbered over range partitions instead. With ``spread`` and a small ``n``, each group is ranked in ``salts``
+    parts first, and only the first ``n`` of each part are ranked together.
     """
+    if n > CUT_BEFORE_SHUFFLE:
+        if not spread:
+            raise ValueError(f"beyond {CUT_BEFORE_SHUFFLE} rows per group, name unique columns in spread")
+        return rank_in_group(df, keys, [*order, *spread], name).where(F.col(name) <= n)
     if spread:
         parts = df.withColumn("_salt", salt(salts, *spread))
         df = _first_rows(parts, [*keys, "_salt"], order, n, "_in_part").drop("_salt", "_in_part")

@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.operators.joins import without_partner
-from clickweave.operators.skew import with_segment
+from clickweave.operators.joins import left_outer
+from clickweave.operators.ordering import rank_in_group
 from clickweave.sinks.writers import few_files
 from clickweave.workspace import fresh_dir
 
@@ -18,32 +18,30 @@ def nest_children(
     key: str,
     child: Sequence[str],
     row_id: Sequence[str],
-    max_rows: int = 100_000,
+    page_rows: int = 1000,
     name: str = "children",
 ) -> DataFrame:
-    """Parents with their children as a sorted list of structs.
+    """Parents with their children as pages of a sorted list of structs.
 
-    A parent without children keeps an empty list; children without a parent are dropped. A parent
-    with far more than ``max_rows`` children comes as several rows, numbered by ``segment``.
+    Every parent's children are numbered in order and come ``page_rows`` to a page, ``page`` counting from 0;
+    a parent without children has page 0 with an empty list. Children without a parent are dropped.
     """
-    lists = (
-        with_segment(children, [key], row_id, max_rows)
-        .groupBy(key, "segment")
-        .agg(F.sort_array(F.collect_list(F.struct(*child))).alias(name))
-    )
+    order = [c for c in dict.fromkeys([*child, *row_id]) if c != key]
+    numbered = rank_in_group(children.select(key, *order), [key], order, "_place")
+    paged = numbered.withColumn("page", F.floor((F.col("_place") - 1) / page_rows))
+    lists = paged.groupBy(key, "page").agg(F.sort_array(F.collect_list(F.struct(*child))).alias(name))
     empty = F.array().cast(lists.schema[name].dataType)
-    lonely = without_partner(parents, children, [key])
-    childless = lonely.withColumn("segment", F.lit(0).cast("long")).withColumn(name, empty)
-    return parents.join(lists, key).unionByName(childless)
+    nested = left_outer(parents, lists, [key])
+    return nested.withColumn("page", F.coalesce("page", F.lit(0).cast("long"))).withColumn(name, F.coalesce(name, empty))
 
 
 def question_answers(
-    posts: DataFrame, key: str, is_question: Column, answer: Sequence[str], row_id: Sequence[str], max_rows: int = 100_000
+    posts: DataFrame, key: str, is_question: Column, answer: Sequence[str], row_id: Sequence[str], page_rows: int = 1000
 ) -> DataFrame:
     """Questions with their answers nested; answers without a question are dropped."""
     questions = posts.where(is_question)
     answers = posts.where(~is_question)
-    return nest_children(questions, answers, key, answer, row_id, max_rows, "answers")
+    return nest_children(questions, answers, key, answer, row_id, page_rows, "answers")
 
 
 def bins_of(bins: Mapping[str, Column]) -> Column:

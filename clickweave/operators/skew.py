@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from clickweave.functions.hashing import hash_bucket, salt
+from clickweave.functions.hashing import salt
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
@@ -34,21 +34,41 @@ def split_join(
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def spread(df: DataFrame, salts: int, row_id: Sequence[str] = ()) -> Column:
+    """A salt that is the same when a task runs again: of ``row_id`` if given, else of the row's columns and its
+    partition, so that equal rows and rows of nothing but a key are spread as well."""
+    if row_id:
+        return salt(salts, *row_id)
+    known = [c for c, f in zip(df.columns, df.schema) if _hashable(f.dataType)]
+    return F.pmod(F.xxhash64(*known) + F.spark_partition_id(), F.lit(salts)).cast("int")
+
+
 def join_keyed(
-    big: DataFrame, keyed: DataFrame, on: Sequence[str], how: str = "inner", share: float = 0.01, salts: int = 32
+    big: DataFrame, keyed: DataFrame, on: Sequence[str], how: str = "inner", share: float = 0.01, salts: int = 32,
+    row_id: Sequence[str] = (), hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join ``big`` with a side that has one row per key; ``how``: inner, left, left_semi or left_anti.
 
     A side fresh from an aggregation is already clustered by the key, and then no partition of the join
     can be split at run time. So hot keys of ``big`` (null among them) are spread here: their rows get a
-    salt, and the one row of the other side is copied to each.
+    salt (see ``spread``), and the one row of the other side is copied to each. ``hot`` gives the xxhash64 of
+    such keys if they are known already.
     """
     on = list(on)
-    hot = hot_keys(big.select(F.xxhash64(*on).alias("_key")), "_key", share)
+    if hot is None:
+        hot = hot_keys(big.select(F.xxhash64(*on).alias("_key")), "_key", share)
     if not hot:
         return big.join(keyed, on, how)
     is_hot = F.xxhash64(*on).isin(hot)
-    left = big.withColumn("_salt", F.when(is_hot, salt(salts, *big.columns)).otherwise(F.lit(0)))
+    left = big.withColumn("_salt", F.when(is_hot, spread(big, salts, row_id)).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = keyed.withColumn("_salt", F.explode(copies))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
@@ -69,20 +89,3 @@ def salted_sum(
         *[F.sum(column).alias(name) for name, column in sums.items()]
     )
     return first.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in sums])
-
-
-def with_segment(
-    df: DataFrame, keys: Sequence[str], row_id: str | Sequence[str], max_rows: int, name: str = "segment"
-) -> DataFrame:
-    """Number the segments of each group so that none holds much more than ``max_rows`` rows.
-
-    A group of up to ``max_rows`` rows is segment 0 alone. A larger one is spread by the md5 of its
-    row id over ``ceil(size / max_rows)`` segments, so the values of a key of any size can be listed
-    without one row, or one task, holding them all.
-    """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / max_rows).alias("_segments"))
-    ids = [row_id] if isinstance(row_id, str) else row_id
-    number = F.when(F.col("_segments") <= 1, F.lit(0)).otherwise(hash_bucket(F.col("_segments"), *ids))
-    numbered = join_keyed(df, sizes, keys).withColumn(name, number).drop("_segments")
-    # The join leaves rows clustered by the keys alone; without this, a hot group would stay in one task.
-    return numbered.repartition(*keys, name)

@@ -6,21 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.functions.scalars import unescape_named
-from clickweave.operators.skew import with_segment
+from clickweave.functions.scalars import unescape
+from clickweave.operators.ordering import rank_in_group
 from clickweave.workspace import stored
 
 # State abbreviations looked for in a location text.
 STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND "
-    "OH OK OR PA RI SC SF TN TX UT VT VA WA WV WI WY"
-).split()
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO",
+    "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SF", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+)
 UNKNOWN, NULL_OR_EMPTY = "Unknown", "Null or Empty"
 
 
 def clean_words(text: Column | str) -> Column:
     """Words of escaped text: lower case, entities undone, quotes dropped, other non-letters as blanks."""
-    plain = F.replace(unescape_named(F.lower(text)), F.lit("'"), F.lit(""))
+    plain = F.replace(unescape(F.lower(text)), F.lit("'"), F.lit(""))
     return F.split(plain, "[^a-zA-Z]+")
 
 
@@ -42,12 +42,12 @@ def first_known(text: Column | str, known: Sequence[str] = STATES) -> Column:
     )
 
 
-def link_index(pages: DataFrame, page_id: str, body: str, pattern: str, max_ids: int = 100_000) -> DataFrame:
-    """Link -> ids of the pages that hold it, space-joined. A link on very many pages has several segments."""
-    links = F.array_distinct(F.regexp_extract_all(unescape_named(F.lower(body)), F.lit(pattern), F.lit(1)))
-    hits = stored(pages.where(F.col(body).isNotNull()).select(page_id, F.explode(links).alias("link")), "links")
-    return (
-        with_segment(hits, ["link"], page_id, max_ids)
-        .groupBy("link", "segment")
-        .agg(F.array_join(F.sort_array(F.collect_list(page_id)), " ").alias("ids"))
-    )
+def link_index(pages: DataFrame, page_id: str, body: str, pattern: str, skip: Column | None = None) -> DataFrame:
+    """Link -> pages that hold it, in long form: (link, position, page id), sorted by page id.
+
+    Rows with ``skip`` (questions, say) and rows without a body are left out.
+    """
+    links = F.array_distinct(F.regexp_extract_all(unescape(F.lower(body)), F.lit(pattern), F.lit(1)))
+    said = pages.where(F.col(body).isNotNull() & ~F.coalesce(skip if skip is not None else F.lit(False), F.lit(False)))
+    hits = stored(said.select(page_id, F.explode(links).alias("link")), "links")
+    return rank_in_group(hits, ["link"], [page_id], "position").select("link", "position", page_id)

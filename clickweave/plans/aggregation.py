@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickweave.functions.hashing import sql_hash_number
+from clickweave.functions import scalars
 from clickweave.operators import aggregates, filters, skew, text
 from clickweave.operators.ordering import top_rows, with_position
 from clickweave.plans import views
@@ -31,24 +31,43 @@ def sum_by_key(spark, folder):
     return table(spark, folder, "lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
 
 
-MAX_VALUES = 500
-
-
 @query(
     "group_values",
-    f"""WITH sized AS (SELECT event_type, CAST(ceil(count(*) / {MAX_VALUES}) AS BIGINT) AS n FROM events GROUP BY 1),
-    numbered AS (SELECT event_type, event_id, CASE WHEN n <= 1 THEN 0
-        ELSE {sql_hash_number('CAST(event_id AS VARCHAR)')} % n END AS segment FROM events JOIN sized USING (event_type))
-    SELECT event_type, segment, string_agg(event_id, ',' ORDER BY event_id) AS event_ids FROM numbered GROUP BY ALL""",
+    "SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS position, event_id AS value FROM events",
 )
 def group_values(spark, folder):
     events = table(spark, folder, "events").select("event_type", "event_id")
-    grouped = aggregates.grouped_values(events, "event_type", "event_id", "event_id", MAX_VALUES)
-    return grouped.select("event_type", "segment", F.array_join("values", ",").alias("event_ids"))
+    return aggregates.grouped_values(events, "event_type", "event_id", "event_id")
+
+
+_ENTITIES = "MAP {" + ", ".join(f"'{name}': chr({ord(char)})" for name, char in sorted(scalars.ENTITIES.items())) + "}"
+
+
+def _sql_unescape(text: str) -> str:
+    """SQL for HTML entities as characters."""
+    name = "regexp_extract(p, '^(#?[0-9a-zA-Z]{1,9});', 1)"
+    code = f"""CASE WHEN regexp_full_match({name}, '#[0-9]{{1,7}}') THEN CAST({name}[2:] AS BIGINT)
+        WHEN regexp_full_match({name}, '#[xX][0-9a-fA-F]{{1,6}}') THEN CAST('0x' || {name}[3:] AS BIGINT) END"""
+    char = f"CASE WHEN {code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343 THEN chr(CAST({code} AS INTEGER)) ELSE {_ENTITIES}[{name}] END"
+    return f"""(string_split({text}, '&')[1] || array_to_string([coalesce({char} || p[length({name}) + 2:], '&' || p) FOR p IN string_split({text}, '&')[2:]], ''))"""
+
+
+_CLEAN = f"replace({_sql_unescape('lower(text)')}, '''', '')"
+
+
+def _clean_words(source: str) -> str:
+    return f"""words AS (SELECT unnest(string_split(regexp_replace({_CLEAN}, '[^a-zA-Z]', ' ', 'g'), ' ')) AS word FROM {source})"""
 
 
-_CLEAN = "replace(replace(replace(replace(replace(replace(lower(text), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&amp;', '&'), '''', '')"
-_CLEAN_WORDS = f"""words AS (SELECT unnest(string_split(regexp_replace({_CLEAN}, '[^a-zA-Z]', ' ', 'g'), ' ')) AS word FROM documents)"""
+_CLEAN_WORDS = _clean_words("documents")
+
+
+@query(
+    "wordcount_pages",
+    f"WITH {_clean_words('(SELECT html AS text FROM pages)')} SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY 1",
+)
+def wordcount_pages(spark, folder):
+    return text.word_counts(table(spark, folder, "pages"), text.clean_words("html"))
 
 
 @query("wordcount_clean", f"WITH {_CLEAN_WORDS} SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY 1")
@@ -118,22 +137,17 @@ def dictionary_counts(spark, folder):
     return table(spark, folder, "documents").select(state).groupBy("state").agg(F.count("*").alias("n"))
 
 
-MAX_IDS = 40
 _HREF = 'href="([^"]+)"'
-_LINKS = """hits AS (SELECT page_id, unnest(list_distinct(regexp_extract_all(
-    replace(replace(replace(replace(replace(lower(html), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&'),
-    'href="([^"]+)"', 1))) AS link FROM pages)"""
 
 
 @query(
     "inverted_index_links",
-    f"""WITH {_LINKS}, sized AS (SELECT link, CAST(ceil(count(*) / {MAX_IDS}) AS BIGINT) AS n FROM hits GROUP BY 1),
-    numbered AS (SELECT link, page_id, CASE WHEN n <= 1 THEN 0 ELSE {sql_hash_number('CAST(page_id AS VARCHAR)')} % n END AS segment
-                 FROM hits JOIN sized USING (link))
-    SELECT link, segment, string_agg(page_id, ' ' ORDER BY page_id) AS ids FROM numbered GROUP BY ALL""",
+    f"""WITH hits AS (SELECT page_id, unnest(list_distinct(regexp_extract_all({_sql_unescape('lower(html)')}, 'href="([^"]+)"', 1))) AS link
+                      FROM pages)
+    SELECT link, row_number() OVER (PARTITION BY link ORDER BY page_id) AS position, page_id FROM hits""",
 )
 def inverted_index_links(spark, folder):
-    return text.link_index(table(spark, folder, "pages"), "page_id", "html", _HREF, MAX_IDS)
+    return text.link_index(table(spark, folder, "pages"), "page_id", "html", _HREF)
 
 
 @query(
@@ -167,19 +181,19 @@ _YEARLY = """SELECT CAST(year(ymd) AS INTEGER) AS year, round(avg(price_close),
 
 @query("group_year", views.sql("stocks") + _YEARLY)
 def group_year(spark, folder):
-    views.stocks(spark, folder).createOrReplaceTempView("stocks")
     return spark.sql(
-        """SELECT year(ymd) AS year, round(avg(price_close), 4) AS mean FROM stocks
-           WHERE exchange = 'NASDAQ' AND symbol = '1-URGENT' GROUP BY year(ymd)"""
+        """SELECT year(ymd) AS year, round(avg(price_close), 4) AS mean FROM {stocks}
+           WHERE exchange = 'NASDAQ' AND symbol = '1-URGENT' GROUP BY year(ymd)""",
+        stocks=views.stocks(spark, folder),
     )
 
 
 @query("group_having", views.sql("stocks") + _YEARLY + " HAVING avg(price_close) > 250000")
 def group_having(spark, folder):
-    views.stocks(spark, folder).createOrReplaceTempView("stocks")
     return spark.sql(
-        """SELECT year(ymd) AS year, round(avg(price_close), 4) AS mean FROM stocks
-           WHERE exchange = 'NASDAQ' AND symbol = '1-URGENT' GROUP BY year(ymd) HAVING avg(price_close) > 250000"""
+        """SELECT year(ymd) AS year, round(avg(price_close), 4) AS mean FROM {stocks}
+           WHERE exchange = 'NASDAQ' AND symbol = '1-URGENT' GROUP BY year(ymd) HAVING avg(price_close) > 250000""",
+        stocks=views.stocks(spark, folder),
     )
 
 
@@ -204,10 +218,21 @@ def daily_uv(spark, folder):
     return aggregates.distinct_per_group(visits, ["date"], "user_id", "uv")
 
 
-@query("daily_uv_approx")
+UV_ERROR = 0.02
+
+
+@query(
+    "daily_uv_approx",
+    "SELECT strftime(ts, '%Y-%m-%d') AS date, count(DISTINCT user_id) AS exact, TRUE AS within_error FROM events GROUP BY 1",
+)
 def daily_uv_approx(spark, folder):
+    """The estimate beside the exact count: whether it is within five standard errors."""
     day = F.date_format("ts", "yyyy-MM-dd").alias("date")
-    return table(spark, folder, "events").groupBy(day).agg(F.approx_count_distinct("user_id").alias("uv"))
+    counts = table(spark, folder, "events").groupBy(day).agg(
+        F.approx_count_distinct("user_id", UV_ERROR).alias("estimate"), F.countDistinct("user_id").alias("exact")
+    )
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.ceil(5 * UV_ERROR * F.col("exact"))
+    return counts.select("date", "exact", near.alias("within_error"))
 
 
 @query("agg_salted", "SELECT l_returnflag, sum(l_quantity) AS quantity, count(*) AS n FROM lineitem GROUP BY 1")
@@ -217,10 +242,10 @@ def agg_salted(spark, folder):
     return skew.salted_sum(lines, ["l_returnflag"], sums, ["l_orderkey", "l_partkey"])
 
 
-@query("observe_sum", "SELECT CAST(sum(o_custkey) AS BIGINT) AS total, count(*) AS n FROM orders WHERE o_orderstatus = 'F'")
+@query("observe_sum", "SELECT CAST(sum(o_custkey) AS BIGINT) AS total, count(*) AS n FROM orders")
 def observe_sum(spark, folder):
-    orders = table(spark, folder, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
-    _, counters = aggregates.observed(orders, {"total": F.sum("o_custkey"), "n": F.count(F.lit(1))})
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    counters = aggregates.observed(orders, {"total": F.sum("o_custkey"), "n": F.count(F.lit(1))})
     return spark.createDataFrame([(counters["total"], counters["n"])], "total long, n long")
 
 

@@ -8,11 +8,22 @@ from clickweave.plans.registry import query
 from clickweave.plans.views import table
 
 
-@query("tfidf_hashing")
+SLOTS = 20
+
+
+@query(
+    "tfidf_hashing",
+    f"""SELECT doc_id, {SLOTS} AS slots, CAST(len(regexp_split_to_array(lower(text), '\\s')) AS DOUBLE) AS tokens, TRUE AS weighted FROM documents""",
+)
 def tfidf_hashing(spark, folder):
+    """Per text: slots, the sum of the raw counts (its tokens), and whether every slot is count times idf >= 0."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    rounded = F.transform(features.as_array("features"), lambda x: F.round(x, 6))
-    return features.hashed_tfidf(documents, "text").select("doc_id", F.array_join(rounded, ",").alias("features"))
+    found = features.hashed_tfidf(documents, "text", SLOTS).select(
+        "doc_id", features.as_array("raw_features").alias("raw"), features.as_array("features").alias("x")
+    )
+    weighted = F.forall(F.arrays_zip("raw", "x"), lambda p: (p["x"] >= 0) & ((p["raw"] > 0) | (p["x"] == 0)))
+    total = F.aggregate("raw", F.lit(0.0), lambda a, n: a + n)
+    return found.select("doc_id", F.size("x").alias("slots"), total.alias("tokens"), weighted.alias("weighted"))
 
 
 @query(
@@ -27,8 +38,10 @@ def tfidf_sql(spark, folder):
     return scored.withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query("word2vec_docs")
+@query("word2vec_docs", "SELECT conv_id, turn, 3 AS size, TRUE AS finite FROM conversations")
 def word2vec_docs(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", words_of("text").alias("words"))
     vectors = features.document_vectors(turns, "words")
-    return vectors.select("conv_id", "turn", features.as_array("features").alias("features"))
+    x = features.as_array("features")
+    finite = F.forall(x, lambda v: ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return vectors.select("conv_id", "turn", F.size(x).alias("size"), finite.alias("finite"))

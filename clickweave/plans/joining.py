@@ -1,28 +1,25 @@
-"""Join queries. The two sides are customers of some nations and finished orders, so both have rows without a partner."""
+"""Join queries. The key of the orders is shifted, so customers and orders both have rows without a partner."""
 
 from pyspark.sql import functions as F
 
-from clickweave.functions.hashing import sql_hash_number
-from clickweave.functions.scalars import words_of
 from clickweave.operators import joins, skew
-from clickweave.operators.pairs import common_word_pairs
 from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
 
-_SIDES = """WITH people AS (SELECT c_custkey AS user_id, c_name AS name, c_acctbal AS reputation FROM customer WHERE c_nationkey < 12),
-    deals AS (SELECT o_orderkey AS deal_id, o_custkey AS user_id, o_totalprice AS price FROM orders WHERE o_orderstatus = 'F') """
+_SIDES = """WITH people AS (SELECT c_custkey AS user_id, c_name AS name, c_acctbal AS reputation FROM customer),
+    deals AS (SELECT o_orderkey AS deal_id, o_custkey + 100 AS user_id, o_totalprice AS price FROM orders) """
 
 
 def people(spark, folder):
-    return table(spark, folder, "customer").where("c_nationkey < 12").select(
+    return table(spark, folder, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("reputation")
     )
 
 
 def deals(spark, folder):
-    return table(spark, folder, "orders").where("o_orderstatus = 'F'").select(
-        F.col("o_orderkey").alias("deal_id"), F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("price")
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("deal_id"), (F.col("o_custkey") + 100).alias("user_id"), F.col("o_totalprice").alias("price")
     )
 
 
@@ -69,17 +66,17 @@ def join_semi(spark, folder):
 
 @query(
     "join_broadcast",
-    """SELECT c_custkey, c_name, n_nationkey AS c_nationkey, n_name FROM customer
-       LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON c_nationkey = n_nationkey WHERE n_name IS NOT NULL
-       UNION ALL SELECT c_custkey, c_name, c_nationkey, NULL FROM customer
-       WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)""",
+    "SELECT c_custkey, c_name, c_nationkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey + 3",
 )
 def join_broadcast(spark, folder):
-    small = table(spark, folder, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    small = table(spark, folder, "nation").select((F.col("n_nationkey") + 3).alias("c_nationkey"), "n_name")
     big = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     return joins.replicated(big, small, ["c_nationkey"], "left")
 
 
+BUCKETS = 8  # one task's work each, at the size of the test tables
+
+
 @query(
     "join_bucketed",
     """SELECT o_orderkey AS order_id, o_custkey, l_partkey, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -87,7 +84,13 @@ def join_broadcast(spark, folder):
 def join_bucketed(spark, folder):
     lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_partkey", "l_quantity")
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"), "o_custkey")
-    return joins.bucketed(lines, orders, "order_id", 8)
+    return joins.bucketed(lines, orders, "order_id", BUCKETS)
+
+
+@query("join_bucketed_full", _SIDES + f"SELECT {_COLUMNS} FROM people FULL JOIN deals USING (user_id)")
+def join_bucketed_full(spark, folder):
+    left, right, (key,) = _both(spark, folder)
+    return joins.bucketed(left, right, key, BUCKETS, "full")
 
 
 @query(
@@ -101,43 +104,16 @@ def join_bloom_prefilter(spark, folder):
     return joins.prefiltered(orders, users, ["user_id"], F.col("c_acctbal") > 1500)
 
 
-@query(
-    "join_common_words",
-    """WITH folded AS (SELECT text, count(*) AS copies, list_distinct(string_split(replace(text, chr(10), ' '), ' ')) AS tokens
-                       FROM benchmark GROUP BY text),
-    pairs AS (SELECT a.text AS left_text, b.text AS right_text, list_intersect(a.tokens, b.tokens) AS shared, a.copies * b.copies AS n
-              FROM folded a, folded b WHERE a.text <> b.text)
-    SELECT left_text, right_text, array_to_string(list_sort(shared), ',') AS words, n FROM pairs WHERE len(shared) >= 3""",
-)
-def join_common_words(spark, folder):
-    return common_word_pairs(table(spark, folder, "benchmark"), "text", words_of("text"))
-
-
-MAX_LIST = 40
-
-
 @query(
     "cogroup_lists",
-    f"""WITH a AS (SELECT n_nationkey AS key, s_suppkey AS id, s_acctbal AS v FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-    b AS (SELECT c_nationkey AS key, c_custkey AS id, c_acctbal AS v FROM customer),
-    al AS (SELECT key, CASE WHEN n <= 1 THEN 0 ELSE {sql_hash_number('CAST(id AS VARCHAR)')} % n END AS segment, v
-           FROM a JOIN (SELECT key, CAST(ceil(count(*) / {MAX_LIST}) AS BIGINT) AS n FROM a GROUP BY key) USING (key)),
-    bl AS (SELECT key, CASE WHEN n <= 1 THEN 0 ELSE {sql_hash_number('CAST(id AS VARCHAR)')} % n END AS segment, v
-           FROM b JOIN (SELECT key, CAST(ceil(count(*) / {MAX_LIST}) AS BIGINT) AS n FROM b GROUP BY key) USING (key)),
-    ag AS (SELECT key, segment, string_agg(v, ',' ORDER BY v) AS left_values FROM al GROUP BY key, segment),
-    bg AS (SELECT key, segment, string_agg(v, ',' ORDER BY v) AS right_values FROM bl GROUP BY key, segment)
-    SELECT key, CAST(segment AS BIGINT) AS segment, left_values, right_values FROM ag FULL JOIN bg USING (key, segment)""",
+    """SELECT n_nationkey AS key, 'left' AS side, row_number() OVER (PARTITION BY n_nationkey ORDER BY s_acctbal, s_suppkey) AS position,
+           s_acctbal AS value FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    UNION ALL SELECT c_nationkey, 'right', row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey), c_acctbal FROM customer""",
 )
 def cogroup_lists(spark, folder):
     suppliers = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("key"), "s_suppkey", "s_acctbal")
     customers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("key"), "c_custkey", "c_acctbal")
-    grouped = joins.cogroup_segments(
-        suppliers, customers, "key", "s_acctbal", "c_acctbal", ("s_suppkey", "c_custkey"), MAX_LIST
-    )
-    return grouped.select(
-        "key", "segment", F.array_join("left_values", ",").alias("left_values"),
-        F.array_join("right_values", ",").alias("right_values"),
-    )
+    return joins.cogroup_values(suppliers, customers, "key", "s_acctbal", "c_acctbal", ("s_suppkey", "c_custkey"))
 
 
 def _symbol(stocks, symbol, name):
@@ -188,7 +164,7 @@ def _skew_sides(spark, folder):
 @query("join_skew_split", _SKEW_SQL)
 def join_skew_split(spark, folder):
     lines, suppliers = _skew_sides(spark, folder)
-    return skew.split_join(lines, suppliers, "supp", ["l_orderkey", "l_quantity"], salts=8, share=0.0101)
+    return skew.split_join(lines, suppliers, "supp", ["l_orderkey", "l_quantity"], salts=8)
 
 
 @query("join_salted", _SKEW_SQL)

@@ -1,33 +1,31 @@
-"""Nesting, binning, partitioning, anonymising and chained jobs."""
+"""Nesting, binning, partitioning, anonymising and chained jobs. Users' keys are shifted, so some posts have no known user."""
 
 from pyspark.sql import functions as F
 
-from clickweave.functions.hashing import sql_hash_number
 from clickweave.operators import organize
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
 
-MAX_LINES = 5
+PAGE_LINES = 5
 _LINE_ID = "l_linenumber || '|' || l_partkey || '|' || l_suppkey"
 
 
 @query(
     "hierarchy_order_lines",
-    f"""WITH sized AS (SELECT l_orderkey, CAST(ceil(count(*) / {MAX_LINES}) AS BIGINT) AS n FROM lineitem GROUP BY 1),
-    lines AS (SELECT l_orderkey, CASE WHEN n <= 1 THEN 0 ELSE {sql_hash_number(_LINE_ID)} % n END AS segment,
-              l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN sized USING (l_orderkey)),
-    lists AS (SELECT l_orderkey, segment, string_agg({_LINE_ID}, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines
-              FROM lines GROUP BY 1, 2)
-    SELECT o_orderkey, coalesce(segment, 0) AS segment, o_orderstatus, coalesce(lines, '') AS lines
-    FROM orders LEFT JOIN lists ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'""",
+    f"""WITH paged AS (SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1) // {PAGE_LINES} AS page
+                       FROM lineitem),
+    lists AS (SELECT l_orderkey, page, string_agg({_LINE_ID}, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines
+              FROM paged GROUP BY 1, 2)
+    SELECT o_orderkey, coalesce(page, 0) AS page, o_orderstatus, coalesce(lines, '') AS lines
+    FROM orders LEFT JOIN lists ON o_orderkey = l_orderkey""",
 )
 def hierarchy_order_lines(spark, folder):
-    orders = table(spark, folder, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     child = ["l_linenumber", "l_partkey", "l_suppkey"]
     lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), *child)
-    nested = organize.nest_children(orders, lines, "o_orderkey", child, child, MAX_LINES, "lines")
+    nested = organize.nest_children(orders, lines, "o_orderkey", child, child, PAGE_LINES, "lines")
     as_text = F.transform("lines", lambda s: F.concat_ws("|", *[s[c] for c in child]))
-    return nested.select("o_orderkey", "segment", "o_orderstatus", F.array_join(as_text, ",").alias("lines"))
+    return nested.select("o_orderkey", "page", "o_orderstatus", F.array_join(as_text, ",").alias("lines"))
 
 
 _BINS = {
@@ -63,26 +61,21 @@ def anonymize_shuffle(spark, folder):
     return organize.shuffled(organize.anonymized(table(spark, folder, "events"), ["user_id", "event_id"], ["ts"]), 7)
 
 
-MAX_ANSWERS = 4
+PAGE_ANSWERS = 4
 
 
 @query(
     "qa_hierarchy",
     f"""WITH q AS (SELECT conv_id, text AS question FROM conversations WHERE turn = 0),
-    a AS (SELECT * FROM conversations WHERE turn <> 0),
-    sized AS (SELECT conv_id, CAST(ceil(count(*) / {MAX_ANSWERS}) AS BIGINT) AS n FROM a GROUP BY 1),
-    numbered AS (SELECT conv_id, turn, text, CASE WHEN n <= 1 THEN 0 ELSE
-        {sql_hash_number("CAST(conv_id AS VARCHAR) || '|' || turn")} % n END AS segment FROM a JOIN sized USING (conv_id)),
-    lists AS (SELECT conv_id, segment, string_agg(turn || ':' || text, chr(10) ORDER BY turn) AS answers FROM numbered GROUP BY 1, 2)
-    SELECT conv_id, coalesce(segment, 0) AS segment, question, coalesce(answers, '') AS answers FROM q LEFT JOIN lists USING (conv_id)""",
+    a AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1) // {PAGE_ANSWERS} AS page FROM conversations WHERE turn <> 0),
+    lists AS (SELECT conv_id, page, string_agg(turn || ':' || text, chr(10) ORDER BY turn, text) AS answers FROM a GROUP BY 1, 2)
+    SELECT conv_id, coalesce(page, 0) AS page, question, coalesce(answers, '') AS answers FROM q LEFT JOIN lists USING (conv_id)""",
 )
 def qa_hierarchy(spark, folder):
     posts = table(spark, folder, "conversations").select("conv_id", "turn", "text")
-    nested = organize.question_answers(
-        posts, "conv_id", F.col("turn") == 0, ["turn", "text"], ["conv_id", "turn"], MAX_ANSWERS
-    )
+    nested = organize.question_answers(posts, "conv_id", F.col("turn") == 0, ["turn", "text"], ["conv_id", "turn"], PAGE_ANSWERS)
     answers = F.array_join(F.transform("answers", lambda a: F.concat_ws(":", a["turn"], a["text"])), "\n")
-    return nested.select("conv_id", "segment", F.col("text").alias("question"), answers.alias("answers"))
+    return nested.select("conv_id", "page", F.col("text").alias("question"), answers.alias("answers"))
 
 
 @query("coalesced_write", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 450000")
@@ -92,15 +85,15 @@ def coalesced_write(spark, folder):
 
 
 _AGAINST = """counts AS (SELECT o_custkey AS user_id, count(*) AS posts FROM orders GROUP BY 1),
-    known AS (SELECT c_custkey AS user_id, c_acctbal AS reputation FROM customer WHERE c_nationkey < 20),
+    known AS (SELECT c_custkey + 100 AS user_id, c_acctbal AS reputation FROM customer),
     binned AS (SELECT user_id, posts, reputation,
         CASE WHEN posts < (SELECT avg(posts) FROM counts) THEN 'below' ELSE 'above' END AS bin FROM counts LEFT JOIN known USING (user_id))"""
 
 
 def _posts_and_users(spark, folder):
     posts = table(spark, folder, "orders").select(F.col("o_custkey").alias("user_id"))
-    users = table(spark, folder, "customer").where("c_nationkey < 20").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("reputation")
+    users = table(spark, folder, "customer").select(
+        (F.col("c_custkey") + 100).alias("user_id"), F.col("c_acctbal").alias("reputation")
     )
     return posts, users, "user_id"
 

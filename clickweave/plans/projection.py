@@ -56,38 +56,38 @@ def flatmap_words(spark, folder):
     " OR city > 'NATION_3' AND salary > 5000",
 )
 def where_eq_and(spark, folder):
-    views.employees(spark, folder).createOrReplaceTempView("employees")
     return spark.sql(
-        "SELECT employee_id, name, address.city AS city, address.state AS state FROM employees "
-        "WHERE address.city = 'NATION_7' AND address.state = 'NA' OR address.city > 'NATION_3' AND salary > 5000"
+        "SELECT employee_id, name, address.city AS city, address.state AS state FROM {people} "
+        "WHERE address.city = 'NATION_7' AND address.state = 'NA' OR address.city > 'NATION_3' AND salary > 5000",
+        people=views.employees(spark, folder),
     )
 
 
 @query(
     "where_like",
-    views.sql("employees") + """SELECT employee_id, street, city, street LIKE '%Ave.' AS suffix, city LIKE 'NATION_1%' AS prefix,
-       street LIKE '%Chi%' AS infix FROM employees
-       WHERE street LIKE '%Ave.' OR city LIKE 'NATION_1%' OR street LIKE '%Chi%'""",
+    views.sql("employees") + """SELECT employee_id, street, city, street LIKE '%Lane' AS suffix, city LIKE 'NATION_1%' AS prefix,
+       street LIKE '%Mill%' AS infix FROM employees
+       WHERE street LIKE '%Lane' OR city LIKE 'NATION_1%' OR street LIKE '%Mill%'""",
 )
 def where_like(spark, folder):
     street, city = F.col("address.street"), F.col("address.city")
     return views.employees(spark, folder).where(
-        street.like("%Ave.") | city.like("NATION_1%") | street.like("%Chi%")
+        street.like("%Lane") | city.like("NATION_1%") | street.like("%Mill%")
     ).select(
         "employee_id", street.alias("street"), city.alias("city"),
-        street.like("%Ave.").alias("suffix"), city.like("NATION_1%").alias("prefix"), street.like("%Chi%").alias("infix"),
+        street.like("%Lane").alias("suffix"), city.like("NATION_1%").alias("prefix"), street.like("%Mill%").alias("infix"),
     )
 
 
 @query(
     "where_rlike",
     views.sql("employees") + """SELECT employee_id, name, street FROM employees
-       WHERE regexp_matches(street, '.*(Chicago|Ontario).*')""",
+       WHERE regexp_matches(street, '.*(Miller|Harbour).*')""",
 )
 def where_rlike(spark, folder):
     return (
         views.employees(spark, folder)
-        .where(F.col("address.street").rlike(".*(Chicago|Ontario).*"))
+        .where(F.col("address.street").rlike(".*(Miller|Harbour).*"))
         .select("employee_id", "name", F.col("address.street").alias("street"))
     )
 
@@ -98,7 +98,7 @@ def where_rlike(spark, folder):
        federal_taxes > CAST(0.2 AS FLOAT) AS over_float FROM employees WHERE CAST(federal_taxes AS DOUBLE) > CAST(0.2 AS DOUBLE)""",
 )
 def where_float_cast(spark, folder):
-    taxes = F.col("deductions")["Federal Taxes"]
+    taxes = F.col("deductions")["income"]
     return (
         views.employees(spark, folder)
         .where(taxes > F.lit(0.2))
@@ -116,10 +116,10 @@ def where_float_cast(spark, folder):
        round(salary * (1 - federal_taxes), 2) AS net FROM employees) e WHERE round(e.net) > 4000""",
 )
 def where_subquery(spark, folder):
-    views.employees(spark, folder).createOrReplaceTempView("employees")
     return spark.sql(
-        """SELECT name, ded, net FROM (SELECT name, deductions['Federal Taxes'] AS ded,
-           round(salary * (1 - deductions['Federal Taxes']), 2) AS net FROM employees) e WHERE round(e.net) > 4000"""
+        """SELECT name, ded, net FROM (SELECT name, deductions['income'] AS ded,
+           round(salary * (1 - deductions['income']), 2) AS net FROM {people}) e WHERE round(e.net) > 4000""",
+        people=views.employees(spark, folder),
     )
 
 
@@ -136,7 +136,7 @@ def select_regex_cols(spark, folder):
 def select_nested(spark, folder):
     return views.employees(spark, folder).select(
         "name",
-        F.col("deductions")["State Taxes"].alias("state_taxes"),
+        F.col("deductions")["pension"].alias("state_taxes"),
         F.col("address.city").alias("city"),
         F.col("address.zip").alias("zip"),
     )
@@ -152,30 +152,28 @@ def select_limit(spark, folder):
         views.employees(spark, folder)
         .orderBy("name")
         .limit(2)
-        .select(F.upper("name").alias("upper_name"), "salary", F.col("deductions")["Federal Taxes"].alias("fed_taxes"))
+        .select(F.upper("name").alias("upper_name"), "salary", F.col("deductions")["income"].alias("fed_taxes"))
     )
 
 
-WORD_LENGTH, BLOOM_RATE = 10, 0.0001
+BLOOM_WORDS, BLOOM_RATE = 20_000, 0.0001
+_SHAPE = filters.BloomShape.best(BLOOM_WORDS, BLOOM_RATE)
 _HOT_WORDS = f"""hot AS (SELECT DISTINCT word FROM (SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word
-    FROM benchmark) WHERE length(word) >= {WORD_LENGTH}),
+    FROM benchmark)),
     doc_words AS (SELECT DISTINCT doc_id, word FROM (SELECT doc_id,
     unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word FROM documents))"""
 
 
 def _hot_words(spark, folder):
-    words = table(spark, folder, "benchmark").select(F.explode(scalars.words_of("text")).alias("word"))
-    return words.where(F.length("word") >= WORD_LENGTH)
+    return table(spark, folder, "benchmark").select(F.explode(scalars.words_of("text")).alias("word"))
 
 
 @query(
     "bloom_filter_docs",
     f"""WITH {_HOT_WORDS},
-    shape AS (SELECT bits, greatest(1, CAST(round(bits / n * ln(2)) AS BIGINT)) AS hashes FROM (
-        SELECT n, CAST(ceil(-n * ln({BLOOM_RATE}) / (ln(2) * ln(2))) AS BIGINT) AS bits FROM (SELECT count(*) AS n FROM hot))),
+    shape AS (SELECT {_SHAPE.bits} AS bits, {_SHAPE.hashes} AS hashes),
     all_words AS (SELECT word, h % {filters.HALF} AS a, h // {filters.HALF} AS b FROM (SELECT word,
-        CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) AS h FROM (SELECT word FROM hot UNION SELECT word FROM doc_words
-            WHERE length(word) BETWEEN (SELECT min(length(word)) FROM hot) AND (SELECT max(length(word)) FROM hot)))),
+        CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) AS h FROM (SELECT word FROM hot UNION SELECT word FROM doc_words))),
     bits AS (SELECT word, (a + i * b) % bits AS bit FROM
         (SELECT word, a, b, bits, unnest(range(hashes)) AS i FROM all_words, shape)),
     member AS (SELECT word FROM bits GROUP BY word
@@ -186,7 +184,7 @@ def _hot_words(spark, folder):
 def bloom_filter_docs(spark, folder):
     documents = table(spark, folder, "documents")
     kept = filters.keep_by_bloom(
-        documents, scalars.words_of("text"), _hot_words(spark, folder), "word", BLOOM_RATE, "doc_id"
+        documents, scalars.words_of("text"), _hot_words(spark, folder), "word", BLOOM_WORDS, BLOOM_RATE
     )
     return kept.select("doc_id", "n_chars")
 
@@ -215,9 +213,19 @@ def grep_fullmatch(spark, folder):
     return lines.where(filters.full_match(F.col("line"), LINE_PATTERN))
 
 
-@query("sample_bernoulli")
+@query("sample_bernoulli", "SELECT 0 AS unknown, 0 AS twice, TRUE AS near_share FROM (SELECT count(*) FROM orders)")
 def sample_bernoulli(spark, folder):
-    return filters.sample_percent(table(spark, folder, "orders").select("o_orderkey", "o_custkey"), 10, 9)
+    """Facts about the sample: rows that are not in the table, rows drawn twice, and whether its size is within
+    four standard deviations of a tenth."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    drawn = filters.sample_percent(orders, 10, 9).select("o_orderkey", F.lit(1).alias("_n"))
+    times = drawn.groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    both = orders.select("o_orderkey", F.lit(True).alias("known")).join(times, "o_orderkey", "full")
+    n, drawn_rows = F.count_if("known"), F.coalesce(F.sum("n"), F.lit(0))
+    return both.agg(
+        F.count_if(F.col("known").isNull()).cast("int").alias("unknown"), F.count_if(F.col("n") > 1).cast("int").alias("twice"),
+        (F.abs(drawn_rows - n * 0.1) <= 4 * F.sqrt(n * 0.09) + 1).alias("near_share"),
+    )
 
 
 @query(
@@ -259,7 +267,7 @@ def valid_log_filter(spark, folder):
        round(salary * (1 - federal_taxes)) AS net FROM employees""",
 )
 def expr_upper_round(spark, folder):
-    fed = F.col("deductions")["Federal Taxes"]
+    fed = F.col("deductions")["income"]
     return views.employees(spark, folder).select(
         F.upper("name").alias("upper_name"), "salary", fed.alias("fed_taxes"),
         F.round(scalars.net_of("salary", fed)).alias("net"),
@@ -269,13 +277,12 @@ def expr_upper_round(spark, folder):
 @query(
     "date_interval",
     """SELECT o_orderkey, CAST(o_orderdate - INTERVAL 5 DAY AS DATE) AS minus_5_days,
-              CAST(o_orderdate - INTERVAL 5 YEAR AS DATE) AS minus_5_years FROM orders WHERE o_orderstatus = 'F'""",
+              CAST(o_orderdate - INTERVAL 5 YEAR AS DATE) AS minus_5_years FROM orders""",
 )
 def date_interval(spark, folder):
     day = F.to_date("o_orderdate")
     return (
         table(spark, folder, "orders")
-        .where("o_orderstatus = 'F'")
         .select(
             "o_orderkey",
             (day - F.expr("INTERVAL 5 DAY")).alias("minus_5_days"),
@@ -386,11 +393,11 @@ def json_field(spark, folder):
 # ---- named functions
 
 
-@query("udf_strlen", "SELECT doc_id, CAST(length(text) AS INTEGER) AS by_sql, CAST(length(text) AS INTEGER) AS by_arrow FROM documents")
+@query("udf_strlen", "SELECT doc_id, CAST(length(text) AS INTEGER) AS by_sql FROM documents")
 def udf_strlen(spark, folder):
     registered.register(spark)
     return table(spark, folder, "documents").select(
-        "doc_id", F.call_function("strLen", F.col("text")).alias("by_sql"), registered.str_len("text").alias("by_arrow")
+        "doc_id", F.call_function("strLen", F.col("text")).alias("by_sql")
     )
 
 
@@ -406,20 +413,20 @@ def udaf_strcount(spark, folder):
 )
 def udf_concat(spark, folder):
     registered.register(spark)
-    table(spark, folder, "customer").createOrReplaceTempView("customer")
     return spark.sql(
-        "SELECT c_custkey, concat_long_string(nullif(c_nationkey, 0), c_mktsegment, ':') AS joined FROM customer"
+        "SELECT c_custkey, concat_long_string(nullif(c_nationkey, 0), c_mktsegment, ':') AS joined FROM {people}",
+        people=table(spark, folder, "customer"),
     )
 
 
 @query("udf_salt_roundtrip", "SELECT o_orderkey, o_orderpriority AS plain, TRUE AS in_range FROM orders")
 def udf_salt_roundtrip(spark, folder):
     registered.register(spark)
-    table(spark, folder, "orders").createOrReplaceTempView("orders")
     return spark.sql(
         """SELECT o_orderkey, remove_random_prefix(salted) AS plain,
                   CAST(split_part(salted, '_', 1) AS INT) BETWEEN 0 AND 9 AS in_range
-           FROM (SELECT o_orderkey, random_prefix(o_orderpriority, o_orderkey, 10) AS salted FROM orders)"""
+           FROM (SELECT o_orderkey, random_prefix(o_orderpriority, o_orderkey, 10) AS salted FROM {deals})""",
+        deals=table(spark, folder, "orders"),
     )
 
 

@@ -4,7 +4,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from clickweave.functions.hashing import sql_hash_number
 from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
@@ -51,10 +50,9 @@ def src_json_strings(spark, folder):
     return readers.json_strings(table(spark, folder, "events").select("event_id", "props"), "props", "k int")
 
 
-@query("src_parquet_sql", "SELECT c_name FROM customer WHERE c_acctbal >= 5000 AND c_nationkey < 20")
+@query("src_parquet_sql", "SELECT c_name, c_acctbal >= 5000 AS rich FROM customer")
 def src_parquet_sql(spark, folder):
-    table(spark, folder, "customer").createOrReplaceTempView("customer_file")
-    return spark.sql("SELECT c_name FROM customer_file WHERE c_acctbal >= 5000 AND c_nationkey < 20")
+    return spark.sql("SELECT c_name, c_acctbal >= 5000 AS rich FROM {file}", file=table(spark, folder, "customer"))
 
 
 @query("src_generic_load_save", "SELECT s_name, s_nationkey FROM supplier")
@@ -67,12 +65,12 @@ def src_generic_load_save(spark, folder):
 
 @query(
     "src_partition_discovery",
-    "SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1",
+    "SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1",
 )
 def src_partition_discovery(spark, folder):
     path = fresh_dir(spark, "segments")
     table(spark, folder, "customer").write.partitionBy("c_mktsegment").parquet(path)
-    found = spark.read.parquet(path).where("c_mktsegment <> 'BUILDING'")
+    found = spark.read.parquet(path)
     return found.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
 
 
@@ -146,24 +144,6 @@ def src_xml_rows(spark, folder):
     return readers.xml_rows(readers.text_lines(spark, path), "value", {"Id": "long", "Name": "string", "Reputation": "double"})
 
 
-RECORD_WORDS = ["cluster", "node", "job", "task", "stage", "shuffle", "spill", "join", "scan", "sort", "merge"]
-_WORDS = "[" + ", ".join(f"'{w}'" for w in RECORD_WORDS) + "]"
-
-
-@query(
-    "src_random_records",
-    f"""SELECT o_orderkey AS seed, {sql_hash_number('k')} % 1000000000 AS "Id", {sql_hash_number('k', 1)} % 100000000 AS "PostId",
-        {sql_hash_number('k', 2)} % 15000 AS "Score", {sql_hash_number('k', 3)} % 1000000 AS "UserId",
-        array_to_string(list_transform(range(1, {sql_hash_number("'size|' || k")} % 30 + 2),
-            lambda i: {_WORDS}[({sql_hash_number("'text|' || k")} + i * {sql_hash_number("'text|' || k", 1)})
-            % {readers.PRIME} * {readers.SPREAD} % {readers.PRIME} % {len(RECORD_WORDS)} + 1]), ' ') AS "Text",
-        TIMESTAMP '2010-01-01 00:00:00' + to_seconds({sql_hash_number("'date|' || k")} % 100000000) AS "CreationDate"
-    FROM (SELECT o_orderkey, '9|' || o_orderkey AS k FROM orders)""",
-)
-def src_random_records(spark, folder):
-    return readers.random_records(table(spark, folder, "orders"), "o_orderkey", RECORD_WORDS, "2010-01-01", seed=9)
-
-
 SHARDS = 6
 
 
@@ -222,12 +202,12 @@ def sink_text(spark, folder):
 
 @query(
     "sink_table_append",
-    """SELECT c_custkey AS user_id FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal > 9000""",
+    "SELECT c_custkey AS user_id FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal >= 0",
 )
 def sink_table_append(spark, folder):
     name, path = writers.new_table(spark, "blacklist")
     customers = table(spark, folder, "customer")
-    for condition in ("c_acctbal < 0", "c_acctbal > 9000"):
+    for condition in ("c_acctbal < 0", "c_acctbal >= 0"):
         writers.append_table(customers.where(condition).select(F.col("c_custkey").alias("user_id")), name, path)
     return spark.table(name)
 

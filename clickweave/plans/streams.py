@@ -1,5 +1,5 @@
-"""Streaming queries. Each lets a given table arrive as files, runs the job to the end of what has arrived,
-and reads the tables the job left. Where batches matter, the table arrives ten days at a time."""
+"""Streaming queries. Each reads a given table as a stream, runs the job to the end of what has arrived, and reads
+the tables the job left. What depends on several batches is tested with arrivals in parts."""
 
 from pyspark.sql import functions as F
 
@@ -10,12 +10,11 @@ from clickweave.sinks.writers import BatchLog
 from clickweave.streaming import ads, feeds, words
 from clickweave.workspace import fresh_dir
 
-DAYS = 10
 THRESHOLD = 2
 
 
-def _log(spark, label, schema, keys):
-    return BatchLog(spark, fresh_dir(spark, label), schema, keys)
+def _log(spark, label, schema, keys, how="totals", day=None):
+    return BatchLog(spark, fresh_dir(spark, label), schema, keys, how, day=day)
 
 
 def _table_stream(spark, folder, name):
@@ -55,28 +54,20 @@ def st_kafka_decode(spark, folder):
     return spark.read.schema(decoded.schema).parquet(out)
 
 
-def _replayed_events(spark, folder, job):
-    """Run ``job(stream)`` after every ten days of events have arrived."""
-    events = table(spark, folder, "events")
-    feeds.replay(events, "ts", DAYS, lambda path: job(feeds.files(spark, path, events.schema)))
-
-
 _RUNNING = "SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2"
 
 
 @query("st_running_count", _RUNNING)
 def st_running_count(spark, folder):
-    log = _log(spark, "running", "event_type string, user_id long, n long", ["event_type", "user_id"])
-    checkpoint = fresh_dir(spark, "checkpoint")
-    _replayed_events(spark, folder, lambda s: words.running_counts(s, ["event_type", "user_id"], log, checkpoint))
+    log = _log(spark, "running", "event_type string, user_id long, n long", ["event_type", "user_id"], "latest")
+    words.running_counts(_table_stream(spark, folder, "events"), ["event_type", "user_id"], log, fresh_dir(spark, "checkpoint"))
     return log.latest()
 
 
 @query("st_running_count_sink", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def st_running_count_sink(spark, folder):
-    log = _log(spark, "running", "event_type string, n long", ["event_type"])
-    checkpoint = fresh_dir(spark, "checkpoint")
-    _replayed_events(spark, folder, lambda s: words.running_counts(s, ["event_type"], log, checkpoint))
+    log = _log(spark, "running", "event_type string, n long", ["event_type"], "latest")
+    words.running_counts(_table_stream(spark, folder, "events"), ["event_type"], log, fresh_dir(spark, "checkpoint"))
     return log.latest()
 
 
@@ -95,7 +86,7 @@ def _searches(stream):
 
 @query("st_window_counts", f"WITH {_SEARCHES}, {_WINDOW_COUNTS} SELECT * FROM counts")
 def st_window_counts(spark, folder):
-    log = _log(spark, "windows", "window_start timestamp_ntz, word string, n long", ["window_start", "word"])
+    log = _log(spark, "windows", "window_start timestamp_ntz, word string, n long", ["window_start", "word"], "latest", "window_start")
     stream = _searches(_table_stream(spark, folder, "events"))
     counts = words.windowed_counts(stream, "ts", ["word"], "60 seconds", "10 seconds", "10 minutes")
     feeds.each_batch(counts, log.write, fresh_dir(spark, "checkpoint"), "update")
@@ -109,15 +100,11 @@ def st_window_counts(spark, folder):
 )
 def st_window_top3(spark, folder):
     schema = "window_start timestamp_ntz, word string, n long"
-    log = _log(spark, "windows", schema, ["window_start", "word"])
-    top = _log(spark, "window-top", f"{schema}, rank int", ["window_start", "rank"])
-    checkpoint = fresh_dir(spark, "checkpoint")
-
-    def job(stream):
-        counts = words.windowed_counts(_searches(stream), "ts", ["word"], "60 seconds", "10 seconds", "10 minutes")
-        words.windowed_top(counts, [], "word", 3, log, top, checkpoint)
-
-    _replayed_events(spark, folder, job)
+    log = _log(spark, "windows", schema, ["window_start", "word"], "latest", "window_start")
+    top = _log(spark, "window-top", f"{schema}, rank int", ["window_start", "rank"], "latest", "window_start")
+    stream = _searches(_table_stream(spark, folder, "events"))
+    counts = words.windowed_counts(stream, "ts", ["word"], "60 seconds", "10 seconds", "10 minutes")
+    words.windowed_top(counts, [], "word", 3, log, top, fresh_dir(spark, "checkpoint"))
     return top.latest()
 
 
@@ -134,8 +121,8 @@ _PRODUCT_CLICKS = """clicks AS (SELECT ts, event_id % 100 AS product_id,
 )
 def st_top3_product(spark, folder):
     schema = "window_start timestamp_ntz, category_id int, product_id long, n long"
-    log = _log(spark, "product-windows", schema, ["window_start", "category_id", "product_id"])
-    top = _log(spark, "product-top", f"{schema}, rank int", ["window_start", "category_id", "rank"])
+    log = _log(spark, "product-windows", schema, ["window_start", "category_id", "product_id"], "latest", "window_start")
+    top = _log(spark, "product-top", f"{schema}, rank int", ["window_start", "category_id", "rank"], "latest", "window_start")
     k = F.get_json_object("props", "$.k").cast("int")
     clicks = _table_stream(spark, folder, "events").where("event_type = 'click'").select(
         "ts", (k % 5).alias("category_id"), (F.col("event_id") % 100).alias("product_id")
@@ -152,37 +139,34 @@ def st_top3_product(spark, folder):
 def st_blacklist_static(spark, folder):
     listed = table(spark, folder, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("user_id"))
     stream = _table_stream(spark, folder, "events").select("event_id", "user_id")
-    log = _log(spark, "kept", "event_id long, user_id long", ["event_id"])
+    log = _log(spark, "kept", "event_id long, user_id long", ["event_id"], "rows")
     words.drop_listed(stream, listed, "user_id", log, fresh_dir(spark, "checkpoint"))
     return log.rows().select("event_id", "user_id")
 
 
-_BATCHES = f"""numbered AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date,
-        date_diff('day', (SELECT min(ts) FROM ad_clicks)::DATE, ts::DATE) // {DAYS} AS batch FROM ad_clicks),
-    over AS (SELECT user_id, min(batch) AS batch FROM (SELECT user_id, batch FROM numbered
-        GROUP BY user_id, batch, date, ad_id HAVING count(*) >= {THRESHOLD}) GROUP BY 1),
-    kept AS (SELECT n.* FROM numbered n LEFT JOIN over o ON n.user_id = o.user_id WHERE o.batch IS NULL OR n.batch <= o.batch)"""
+# All clicks arrive in one batch, so users over the threshold are listed for the next one and their clicks count.
+_ARRIVED = f"""dated AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date FROM ad_clicks),
+    over AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM dated GROUP BY user_id, date, ad_id HAVING count(*) >= {THRESHOLD}))"""
+
+
+def _click_stream(spark, folder):
+    return views.ad_click_columns(_table_stream(spark, folder, "events"), views.cities(spark, folder))
 
 
 def _ad_tables(spark, folder):
-    clicks = views.ad_clicks(spark, folder)
     tables = ads.AdTables.under(spark, fresh_dir(spark, "ads"))
-    checkpoint = fresh_dir(spark, "checkpoint")
-    feeds.replay(
-        clicks, "ts", DAYS,
-        lambda path: ads.ad_job(feeds.files(spark, path, clicks.schema), tables, THRESHOLD, checkpoint),
-    )
+    ads.ad_job(_click_stream(spark, folder), tables, THRESHOLD, fresh_dir(spark, "checkpoint"))
     return tables
 
 
-@query("st_blacklist_dynamic", views.sql("ad_clicks", extra=_BATCHES) + "SELECT user_id FROM over")
+@query("st_blacklist_dynamic", views.sql("ad_clicks", extra=_ARRIVED) + "SELECT user_id FROM over")
 def st_blacklist_dynamic(spark, folder):
     return _ad_tables(spark, folder).blacklist.rows().select("user_id")
 
 
 @query(
     "st_user_ad_counts",
-    views.sql("ad_clicks", extra=_BATCHES) + "SELECT date, user_id, ad_id, count(*) AS clicks FROM kept GROUP BY ALL",
+    views.sql("ad_clicks", extra=_ARRIVED) + "SELECT date, user_id, ad_id, count(*) AS clicks FROM dated GROUP BY ALL",
 )
 def st_user_ad_counts(spark, folder):
     return _ad_tables(spark, folder).user_counts.totals()
@@ -190,7 +174,7 @@ def st_user_ad_counts(spark, folder):
 
 @query(
     "st_ad_stat",
-    views.sql("ad_clicks", extra=_BATCHES) + "SELECT date, province, city, ad_id, count(*) AS clicks FROM kept GROUP BY ALL",
+    views.sql("ad_clicks", extra=_ARRIVED) + "SELECT date, province, city, ad_id, count(*) AS clicks FROM dated GROUP BY ALL",
 )
 def st_ad_stat(spark, folder):
     return _ad_tables(spark, folder).ad_stat.totals()
@@ -198,23 +182,16 @@ def st_ad_stat(spark, folder):
 
 @query(
     "st_province_top3",
-    views.sql("ad_clicks", extra=_BATCHES) + """SELECT * FROM (SELECT *, CAST(row_number() OVER
+    views.sql("ad_clicks", extra=_ARRIVED) + """SELECT * FROM (SELECT *, CAST(row_number() OVER
     (PARTITION BY date, province ORDER BY clicks DESC, ad_id) AS INTEGER) AS rank FROM
-    (SELECT date, province, ad_id, count(*) AS clicks FROM kept GROUP BY ALL)) WHERE rank <= 3""",
+    (SELECT date, province, ad_id, count(*) AS clicks FROM dated GROUP BY ALL)) WHERE rank <= 3""",
 )
 def st_province_top3(spark, folder):
     return spark.read.schema(ads.TOP_SCHEMA).parquet(_ad_tables(spark, folder).province_top)
 
 
-_TREND_SCHEMA = "window_start timestamp_ntz, ad_id int, n long"
-
-
-def _trend(spark, folder):
-    log = _log(spark, "trend", _TREND_SCHEMA, ["window_start", "ad_id"])
-    checkpoint = fresh_dir(spark, "checkpoint")
-    clicks = views.ad_clicks(spark, folder)
-    feeds.replay(clicks, "ts", DAYS, lambda path: ads.click_trend(feeds.files(spark, path, clicks.schema), log, checkpoint))
-    return log.latest()
+def _clicks_log(spark, label):
+    return _log(spark, label, "window_start timestamp_ntz, ad_id int, n long", ["window_start", "ad_id"], "latest", "window_start")
 
 
 @query(
@@ -223,29 +200,31 @@ def _trend(spark, folder):
     ad_id, count(*) AS clicks FROM ad_clicks GROUP BY ALL""",
 )
 def st_click_trend(spark, folder):
+    log = _clicks_log(spark, "trend")
+    ads.click_trend(_click_stream(spark, folder), log, fresh_dir(spark, "checkpoint"))
     parts = {"date": "yyyyMMdd", "hour": "HH", "minute": "mm"}
-    return _trend(spark, folder).select(
+    return log.latest().select(
         *[F.date_format("window_start", pattern).alias(name) for name, pattern in parts.items()], "ad_id", F.col("n").alias("clicks")
     )
 
 
 @query(
     "st_click_hour_total",
-    views.sql("ad_clicks") + """SELECT date_trunc('minute', ts) + to_minutes(i) AS last_minute, ad_id, count(*) AS clicks
-    FROM ad_clicks, (SELECT unnest(range(60)) AS i) GROUP BY ALL""",
+    views.sql("ad_clicks") + """, slides AS (SELECT make_timestamp((epoch_us(ts) // 10000000 + 1) * 10000000) AS e, ad_id FROM ad_clicks),
+    changes AS (SELECT e AS window_end, ad_id, 1 AS change FROM slides UNION ALL SELECT e + INTERVAL 1 HOUR, ad_id, -1 FROM slides),
+    per_end AS (SELECT window_end, ad_id, sum(change) AS change FROM changes GROUP BY ALL)
+    SELECT window_end, ad_id, CAST(sum(change) OVER (PARTITION BY ad_id ORDER BY window_end) AS BIGINT) AS clicks FROM per_end""",
 )
 def st_click_hour_total(spark, folder):
-    return ads.hour_totals(_trend(spark, folder))
+    log = _clicks_log(spark, "slides")
+    ads.clicks_per(_click_stream(spark, folder), log, fresh_dir(spark, "checkpoint"), "10 seconds")
+    return ads.hour_totals(log.latest())
 
 
 @query("st_restart_exactly_once", "SELECT event_type AS word, count(*) AS n FROM events GROUP BY 1")
 def st_restart_exactly_once(spark, folder):
     log = _log(spark, "restarts", "word string, n long", ["word"])
     checkpoint = fresh_dir(spark, "checkpoint")
-
-    def twice(stream):  # the second run finds nothing new
-        for _ in range(2):
-            words.count_per_batch(stream, F.split("event_type", " "), log, checkpoint)
-
-    _replayed_events(spark, folder, twice)
+    for _ in range(2):  # the second run finds nothing new
+        words.count_per_batch(_table_stream(spark, folder, "events"), F.split("event_type", " "), log, checkpoint)
     return log.totals()

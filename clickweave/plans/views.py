@@ -134,11 +134,11 @@ def employees(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_name").alias("name"),
         F.col("s_acctbal").alias("salary"),
         F.create_map(
-            F.lit("Federal Taxes"), federal, F.lit("State Taxes"), F.lit(0.05).cast("float")
+            F.lit("income"), federal, F.lit("pension"), F.lit(0.05).cast("float")
         ).alias("deductions"),
         F.struct(
             F.concat(
-                F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 2 == 0, " Michigan Ave.").otherwise(" Old Chicago Dr.")
+                F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 2 == 0, " Harbour Lane").otherwise(" Miller Road")
             ).alias("street"),
             F.col("n_name").alias("city"),
             F.substring("n_name", 1, 2).alias("state"),
@@ -204,7 +204,7 @@ SQL = {
         SELECT s_suppkey AS employee_id, s_name AS name, s_acctbal AS salary,
                CAST(CASE WHEN s_suppkey % 3 = 0 THEN 0.3 ELSE 0.2 END AS FLOAT) AS federal_taxes,
                CAST(0.05 AS FLOAT) AS state_taxes,
-               s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN ' Michigan Ave.' ELSE ' Old Chicago Dr.' END AS street,
+               s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN ' Harbour Lane' ELSE ' Miller Road' END AS street,
                n_name AS city, substr(n_name, 1, 2) AS state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "stocks": """

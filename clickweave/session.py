@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",  # one sorted file per bucket is read as sorted
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickweave.workspace import fresh_dir, fresh_name
@@ -61,45 +60,98 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 class BatchLog:
     """A keyed table as a log of batches: one folder per batch id, merged when read.
 
-    Writing a batch again replaces its own folder and nothing else, so a retried batch counts once and
-    no batch ever rewrites what is already there.
+    Writing a batch again replaces its own folder and nothing else, so a retried batch counts once. Every
+    ``every`` batches, before a new one is written, the earlier ones are folded into one folder that carries the
+    highest batch id it holds; batches up to that id are never added again, whatever is retried. So a read
+    opens a bounded number of folders, however long the job runs. ``how`` says what folding does:
+
+    * ``totals``: per key the sum of all batches;
+    * ``latest``: per key the values of the last batch that had it;
+    * ``rows``: all rows, moved together;
+    * ``batch``: only the last batch is kept.
+
+    ``day`` names a column with a date or time; the log is then laid out by its day, and ``rows(days)`` reads only
+    the folders of those days.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str]) -> None:
-        self.spark, self.path, self.keys = spark, path, list(keys)
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], how: str = "totals", every: int = 8, day: str | None = None
+    ) -> None:
+        self.spark, self.path, self.keys, self.how, self.every, self.day = spark, path, list(keys), how, every, day
         self.schema = T.StructType.fromDDL(schema)
         self.values = [f.name for f in self.schema if f.name not in self.keys]
 
+    def _fs(self, path: str):
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), target
+
+    def _ids(self, part: str) -> list[int]:
+        """Ids of the complete folders of ``batches`` or ``folded``."""
+        fs, target = self._fs(f"{self.path}/{part}")
+        if not fs.exists(target):
+            return []
+        names = [status.getPath() for status in fs.listStatus(target)]
+        return sorted(int(p.getName()) for p in names if fs.exists(self._fs(f"{p}/_SUCCESS")[1]))
+
+    def _save(self, rows: DataFrame, path: str) -> None:
+        if self.day:
+            day = F.date_format(self.day, "yyyy-MM-dd").alias("_day")
+            rows.select("*", day).write.mode("overwrite").partitionBy("_day").parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
+
     def write(self, batch: DataFrame, batch_id: int) -> None:
+        folded = max(self._ids("folded"), default=-1)
+        if batch_id <= folded:
+            return  # a retry of a batch that the fold holds
+        earlier = [i for i in self._ids("batches") if folded < i < batch_id]
+        if len(earlier) >= (1 if self.how == "batch" else self.every):
+            self._fold(earlier[-1])
         rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self._save(rows, f"{self.path}/batches/{batch_id}")
+
+    def _fold(self, last: int) -> None:
+        if self.how != "batch":
+            merged = {"totals": self.totals, "latest": self.latest, "rows": lambda: self.rows().drop("batch_id")}[self.how]()
+            self._save(merged.select(*self.schema.names), f"{self.path}/folded/{last}")
+        for part, limit in (("batches", last), ("folded", last - 1)):
+            for i in self._ids(part):
+                if i <= limit:
+                    fs, target = self._fs(f"{self.path}/{part}/{i}")
+                    fs.delete(target, True)
+
+    def rows(self, days: tuple | None = None, below: int | None = None) -> DataFrame:
+        """All rows with their ``batch_id`` (of folded ones the fold's), or those of the days from..to, or of
+        batches ``below`` an id."""
+        folded = max(self._ids("folded"), default=-1)
+        folders = [(i, f"{self.path}/folded/{i}") for i in [folded] if i >= 0]
+        folders += [(i, f"{self.path}/batches/{i}") for i in self._ids("batches") if i > folded]
+        folders = [(i, folder) for i, folder in folders if below is None or i < below]
+        schema = T.StructType([*self.schema, *[T.StructField("_day", T.StringType())] * bool(self.day)])
+        out = self.spark.createDataFrame([], T.StructType([*self.schema, T.StructField("batch_id", T.LongType())]))
+        for i, folder in folders:
+            part = self.spark.read.schema(schema).parquet(folder)
+            if days is not None:
+                if not self.day:
+                    raise ValueError("this log is not laid out by day")
+                part = part.where(F.col("_day").between(*days))
+            out = out.unionByName(part.drop("_day").withColumn("batch_id", F.lit(i).cast("long")))
+        return out
 
-    def rows(self) -> DataFrame:
-        schema = T.StructType([*self.schema, T.StructField("batch_id", T.LongType())])
-        try:
-            return self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)  # no batch yet
+    def of(self, batch_id: int) -> DataFrame:
+        """Rows of one batch; none if it is folded already."""
+        only = F.lit(batch_id in self._ids("batches")) & (F.col("batch_id") == batch_id)
+        return self.rows().where(only).drop("batch_id")
 
     def before(self, batch_id: int) -> DataFrame:
         """Rows of earlier batches, only their folders read."""
-        return self.rows().where(F.col("batch_id") < batch_id)
+        return self.rows(below=batch_id)
 
-    def latest(self) -> DataFrame:
+    def latest(self, days: tuple | None = None) -> DataFrame:
         """Upsert that sets: per key the values of the last batch that had it."""
         last = F.max_by(F.struct(*self.values), "batch_id").alias("last")
-        return self.rows().groupBy(*self.keys).agg(last).select(*self.keys, "last.*")
+        return self.rows(days).groupBy(*self.keys).agg(last).select(*self.keys, "last.*")
 
-    def totals(self) -> DataFrame:
+    def totals(self, days: tuple | None = None) -> DataFrame:
         """Upsert that adds: per key the sum over all batches."""
-        return self.rows().groupBy(*self.keys).agg(*[F.sum(v).alias(v) for v in self.values])
-
-    def folded(self, path: str, how: str = "totals") -> "BatchLog":
-        """A new log whose first batch is the merged state of this one; run now and then to keep reads short."""
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema)
-        out = BatchLog(self.spark, path, schema, self.keys)
-        out.write(getattr(self, how)(), 0)
-        return out
-
+        return self.rows(days).groupBy(*self.keys).agg(*[F.sum(v).alias(v) for v in self.values])

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from clickweave.functions.hashing import hash_number
-
 _TYPES = {int: T.LongType(), float: T.DoubleType(), str: T.StringType(), bool: T.BooleanType()}
 
 
@@ -105,45 +103,6 @@ def good_students(students: DataFrame, scores: DataFrame, over: int) -> DataFram
     return students.join(scores.where(F.col("score") > over), "name")
 
 
-# Ranges of a random record.
-SCORES, ROW_IDS, POST_IDS, USER_IDS, MOST_WORDS = 15_000, 1_000_000_000, 100_000_000, 1_000_000, 30
-PRIME, SPREAD = 2_147_483_647, 48_271  # of a multiplicative generator, for the words
-
-
-def random_records(seeds: DataFrame, seed_column: str, words: Sequence[str], start: str, seed: int = 0) -> DataFrame:
-    """One random record per row of ``seeds``, drawn from the md5 of the seed column.
-
-    Every field depends on nothing but the seed, so a lost task is redone with the same result.
-    """
-    key = F.concat_ws("|", F.lit(seed), F.col(seed_column))
-    pool = F.array(*[F.lit(w) for w in words])
-    draw = F.struct(
-        (hash_number(F.lit("size"), key) % MOST_WORDS + 1).alias("size"),
-        hash_number(F.lit("text"), key).alias("first"),
-        hash_number(F.lit("text"), key, offset=1).alias("step"),
-    )
-
-    def words_of(d: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1).cast("long"), d["size"]),
-            lambda i: F.element_at(
-                pool, ((d["first"] + i * d["step"]) % PRIME * SPREAD % PRIME % len(words) + 1).cast("int")
-            ),
-        )
-
-    picks = F.flatten(F.transform(F.array(draw), words_of))  # a list of one, so that a draw is hashed once
-    moment = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(secs=(hash_number(F.lit("date"), key) % 100_000_000).cast("decimal(18,6)"))
-    return seeds.select(
-        F.col(seed_column).alias("seed"),
-        (hash_number(key) % ROW_IDS).alias("Id"),
-        (hash_number(key, offset=1) % POST_IDS).alias("PostId"),
-        (hash_number(key, offset=2) % SCORES).alias("Score"),
-        F.array_join(picks, " ").alias("Text"),
-        moment.alias("CreationDate"),
-        (hash_number(key, offset=3) % USER_IDS).alias("UserId"),
-    )
-
-
 def sharded(spark: SparkSession, path: str, shards: int, key: Column | None = None) -> DataFrame:
     """Pairs of a sharded store; with a ``key`` only the shard that can hold it is read."""
     pairs = spark.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from clickweave.operators.joins import without_partner
 from clickweave.operators.ordering import top_per_group
@@ -28,12 +28,15 @@ class AdTables:
     @classmethod
     def under(cls, spark: SparkSession, path: str) -> "AdTables":
         return cls(
-            BatchLog(spark, f"{path}/kept", "event_id long, date string, province string, city string, user_id long, ad_id int", ["event_id"]),
-            BatchLog(spark, f"{path}/user_counts", "date string, user_id long, ad_id int, clicks long", ["date", "user_id", "ad_id"]),
-            BatchLog(spark, f"{path}/blacklist", "user_id long", ["user_id"]),
+            BatchLog(
+                spark, f"{path}/kept", "event_id long, date string, province string, city string, user_id long, ad_id int",
+                ["event_id"], "batch",
+            ),
+            BatchLog(spark, f"{path}/user_counts", "date string, user_id long, ad_id int, clicks long", ["date", "user_id", "ad_id"], day="date"),
+            BatchLog(spark, f"{path}/blacklist", "user_id long", ["user_id"], "rows"),
             BatchLog(
                 spark, f"{path}/ad_stat", "date string, province string, city string, ad_id int, clicks long",
-                ["date", "province", "city", "ad_id"],
+                ["date", "province", "city", "ad_id"], day="date",
             ),
             f"{path}/province_top",
         )
@@ -44,25 +47,24 @@ def handle_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: i
 
     Users listed by earlier batches are dropped; a user who crosses the threshold in this batch is
     dropped from the next one on. Every output is keyed by the batch id or by the partitions it
-    replaces, so a batch that is tried again leaves the same tables.
+    replaces, so a batch that is tried again leaves the same tables. Only the days of this batch are read back,
+    from a bounded number of folders.
     """
     dated = batch.withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
     listed = tables.blacklist.before(batch_id).select("user_id").distinct()
     tables.kept.write(without_partner(dated, listed, ["user_id"]), batch_id)
-    kept = tables.kept.rows().where(F.col("batch_id") == batch_id)
+    kept = tables.kept.of(batch_id)
     low, high = kept.agg(F.min("date"), F.max("date")).first()
     if low is None:
         return
-    in_range = F.col("date").between(low, high) & (F.col("batch_id") <= batch_id)
-
     user_keys = ["date", "user_id", "ad_id"]
     tables.user_counts.write(kept.groupBy(*user_keys).agg(F.count("*").alias("clicks")), batch_id)
-    so_far = tables.user_counts.rows().where(in_range).groupBy(*user_keys).agg(F.sum("clicks").alias("clicks"))
+    so_far = tables.user_counts.totals((low, high))
     over = so_far.where(F.col("clicks") >= threshold).select("user_id").distinct()
     tables.blacklist.write(over.join(listed, "user_id", "left_anti"), batch_id)
 
     tables.ad_stat.write(kept.groupBy("date", "province", "city", "ad_id").agg(F.count("*").alias("clicks")), batch_id)
-    per_province = tables.ad_stat.rows().where(in_range).groupBy("date", "province", "ad_id").agg(F.sum("clicks").alias("clicks"))
+    per_province = tables.ad_stat.rows((low, high)).groupBy("date", "province", "ad_id").agg(F.sum("clicks").alias("clicks"))
     best = top_per_group(per_province, ["date", "province"], [F.desc("clicks"), F.asc("ad_id")], n)
     # The ranking covers every province of its dates, so whole dates are replaced.
     replace_partitions(best, tables.province_top, ["date"])
@@ -74,16 +76,27 @@ def ad_job(stream: DataFrame, tables: AdTables, threshold: int, checkpoint: str)
 
 def click_trend(stream: DataFrame, log: BatchLog, checkpoint: str) -> None:
     """Clicks per minute and ad, of the unfiltered stream; a late click is added to its minute for an hour."""
-    counts = windowed_counts(stream, "ts", ["ad_id"], "1 minute", None, "1 hour")
+    clicks_per(stream, log, checkpoint, "1 minute")
+
+
+def clicks_per(stream: DataFrame, log: BatchLog, checkpoint: str, size: str, late: str = "1 hour") -> None:
+    """Clicks per window of ``size`` and ad."""
+    counts = windowed_counts(stream, "ts", ["ad_id"], size, None, late)
     each_batch(counts, log.write, checkpoint, "update")
 
 
-def hour_totals(trend: DataFrame, minutes: int = 60) -> DataFrame:
-    """Clicks of the hour that ends with each minute, per ad, from the per-minute counts.
+def hour_totals(counts: DataFrame, slide: int = 10, size: int = 3600) -> DataFrame:
+    """Clicks per ad in the window of ``size`` seconds that slides by ``slide``: (window_end, ad_id, clicks).
 
-    Only minutes are spread over the windows that hold them, never clicks.
+    ``counts`` has clicks per ``slide`` seconds (window_start, ad_id, n). A count enters the window that ends with
+    its slide and leaves ``size`` later, so the total is a running sum of two changes per count, and a line tells
+    the total from its window's end until the next line of the ad. No click is copied to the windows that hold it.
     """
-    ends = F.explode(F.sequence(F.lit(0), F.lit(minutes - 1))).alias("after")
-    spread = trend.select("window_start", "ad_id", "n", ends)
-    end = (F.col("window_start") + F.make_dt_interval(mins=F.col("after"))).alias("last_minute")
-    return spread.groupBy(end, "ad_id").agg(F.sum("n").alias("clicks"))
+    end = F.col("window_start") + F.make_dt_interval(secs=F.lit(slide))
+    changes = counts.select("ad_id", F.explode(F.array(
+        F.struct(end.alias("window_end"), F.col("n").alias("change")),
+        F.struct((end + F.make_dt_interval(secs=F.lit(size))).alias("window_end"), (-F.col("n")).alias("change")),
+    )).alias("c")).select("ad_id", "c.*")
+    per_end = changes.groupBy("ad_id", "window_end").agg(F.sum("change").alias("change"))
+    so_far = W.partitionBy("ad_id").orderBy("window_end").rowsBetween(W.unboundedPreceding, 0)
+    return per_end.select("window_end", "ad_id", F.sum("change").over(so_far).alias("clicks"))

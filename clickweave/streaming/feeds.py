@@ -1,15 +1,12 @@
-"""Streams from files, sockets and Kafka, and the replay of a table as a stream."""
+"""Streams from files, sockets and Kafka."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from clickweave.workspace import fresh_dir
-
 # Columns of a Kafka record.
 KAFKA_SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
 
@@ -54,23 +51,3 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
 
 def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     run_available(stream.writeStream.outputMode(mode).foreachBatch(handle), checkpoint)
-
-
-def replay(rows: DataFrame, ts: str, days: int, run: Callable[[str], None]) -> None:
-    """Let a table arrive ``days`` days at a time in one folder and run the job after each arrival.
-
-    The loop goes over periods of time, not over rows; each period is one distributed write.
-    """
-    spark = rows.sparkSession
-    incoming = fresh_dir(spark, "incoming")
-    start, last = rows.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
-    if start is None:
-        rows.write.mode("append").parquet(incoming)
-        return run(incoming)
-    kind = rows.schema[ts].dataType
-    while start <= last:
-        end = start + timedelta(days=days)
-        low, high = (F.lit(day.isoformat()).cast(kind) for day in (start, end))
-        rows.where((F.col(ts) >= low) & (F.col(ts) < high)).write.mode("append").parquet(incoming)
-        run(incoming)
-        start = end

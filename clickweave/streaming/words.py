@@ -39,18 +39,20 @@ def windowed_top(
 ) -> None:
     """The ``n`` most frequent items per window and group.
 
-    A batch brings only the counts it changed, so the windows it touched are ranked from the log.
+    A batch brings only the counts it changed, so the windows it touched are ranked from the log, of which only
+    their days are read.
     Ranks of a touched window replace the earlier ones; a window never loses items, so none go stale.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         log.write(batch, batch_id)
-        changed = log.rows().where(F.col("batch_id") == batch_id)
-        low, high = changed.agg(F.min("window_start"), F.max("window_start")).first()
+        changed = log.of(batch_id)
+        day = F.date_format("window_start", "yyyy-MM-dd")
+        low, high = changed.agg(F.min(day), F.max(day)).first()
         if low is None:
             return
         touched = changed.select("window_start").distinct()
-        known = log.latest().where(F.col("window_start").between(low, high)).join(touched, "window_start", "left_semi")
+        known = log.latest((low, high)).join(touched, "window_start", "left_semi")
         ranked = top_per_group(known, ["window_start", *groups], [F.desc("n"), F.asc(item)], n)
         top.write(ranked, batch_id)
 

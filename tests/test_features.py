@@ -30,6 +30,14 @@ def test_document_vector_is_the_mean_of_its_words(spark):
     model = features.word_vectors(df, "words", partitions=2)
     vectors = {r.word: r.vector.toArray() for r in model.getVectors().collect()}
     assert len(vectors) == 16 and all(len(v) == 3 for v in vectors.values())
-    for row in model.transform(df).collect():
+    hashed = df.select("id", features.bucketed_words(F.col("words")).alias("words"))
+    for row in model.transform(hashed).collect():
         mean = sum(vectors[w] for w in row.words) / len(row.words)
         assert abs(mean - row.features.toArray()).max() < 1e-6
+
+
+def test_the_vocabulary_is_bounded(spark):
+    df = docs(spark).select("id", F.split("text", " ").alias("words"))
+    assert features.word_vectors(df, "words", buckets=4).getVectors().count() <= 4
+    out = features.document_vectors(df, "words", buckets=4)
+    assert [len(r.words) for r in out.orderBy("id").collect()] == [5, 7, 5]

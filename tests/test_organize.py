@@ -8,15 +8,17 @@ def test_parents_keep_and_orphans_go(spark):
     parents = spark.createDataFrame([(1, "p"), (2, "q")], "k int, name string")
     children = spark.createDataFrame([(1, 5, "b"), (1, 4, "a"), (9, 1, "z")], "k int, id int, t string")
     nested = organize.nest_children(parents, children, "k", ["id", "t"], ["id"])
-    got = {(r.k, r.segment): [tuple(c) for c in r.children] for r in nested.collect()}
+    got = {(r.k, r.page): [tuple(c) for c in r.children] for r in nested.collect()}
     assert got == {(1, 0): [(4, "a"), (5, "b")], (2, 0): []}
 
 
-def test_a_parent_with_many_children_has_segments(spark):
+def test_children_come_in_pages(spark):
     parents = spark.createDataFrame([(1,), (2,)], "k int")
     children = spark.range(0, 600).select(F.when(F.col("id") % 3 == 0, 2).otherwise(1).alias("k"), "id")
     nested = organize.nest_children(parents, children, "k", ["id"], ["id"], 50)
-    assert nested.count() > 8
+    assert {(r.k, r.page): r.n for r in nested.select("k", "page", F.size("children").alias("n")).collect()} == {
+        (k, p): 50 for k, n in ((1, 400), (2, 200)) for p in range(n // 50)
+    }
     assert rows(nested.select("k", F.explode("children.id"))) == rows(children, "k", "id")
 
 

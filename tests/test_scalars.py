@@ -47,8 +47,7 @@ def test_leap_day_minus_years(spark):
 
 def test_unescape(spark):
     df = spark.createDataFrame([("&lt;p&gt; caf&eacute; &amp;lt;",), (None,)], "t string")
-    assert [r[0] for r in df.select(scalars.unescape_named("t")).collect()] == ["<p> caf&eacute; &lt;", None]
-    assert [r[0] for r in df.select(scalars.unescape_html("t")).collect()] == ["<p> café &lt;", None]
+    assert [r[0] for r in df.select(scalars.unescape("t")).collect()] == ["<p> café &lt;", None]
 
 
 def test_full_match_needs_the_whole_line(spark):
@@ -56,3 +55,22 @@ def test_full_match_needs_the_whole_line(spark):
 
     df = spark.createDataFrame([("abc",), ("abcd",), ("abc\n",)], "t string")
     assert [r[0] for r in df.select(full_match(F.col("t"), "a|abc")).collect()] == [True, False, False]
+
+
+def test_entities(spark):
+    from clickweave.operators.text import clean_words
+
+    texts = ["It&#39;s caf&eacute;&nbsp;x", "&#x41;&#66;&unknown;&amp;amp;&", "&#0;&#xD800;&#99999999;", "&lt", "", None, "a;b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(scalars.unescape("t")).collect()]
+    assert got == ["It's caf\u00e9\u00a0x", "AB&unknown;&amp;&", "&#0;&#xD800;&#99999999;", "&lt", "", None, "a;b"]
+    words = [w for w in df.select(clean_words("t")).first()[0] if w]
+    assert words == ["its", "caf", "x"]
+
+
+def test_links_of_questions_are_skipped(spark):
+    from clickweave.operators.text import link_index
+
+    pages = spark.createDataFrame([(1, 'href="a&amp;b"', 1), (2, 'href="A&b" href="a&b"', 2), (3, None, 2), (4, 'href="c"', None)], "id int, body string, kind int")
+    got = [tuple(r) for r in link_index(pages, "id", "body", 'href="([^"]+)"', F.col("kind") == 1).orderBy("link", "position").collect()]
+    assert got == [("a&b", 1, 2), ("c", 1, 4)]

@@ -51,42 +51,70 @@ def test_anti_both(big, small_side):
     assert rows(joins.anti_both(big, small_side, ["k"]), "id", "k", "v", "name") == rows(want, "id", "k", "v", "name")
 
 
-def test_bucketed_join_merges_without_a_shuffle(spark, big, small_side):
-    joined = joins.bucketed(big, small_side, "k", 4)
-    assert rows(joined, "id", "k", "name") == rows(big.join(small_side, "k"), "id", "k", "name")
-    merged = plan(joined).split("SortMergeJoin")[1].split("\n   +- ")[0]
-    assert "Bucketed: true" in merged and "Exchange" not in merged
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_bucketed_join_merges_without_shuffle_or_sort(spark, big, small_side, how):
+    joined = joins.bucketed(big, small_side, "k", 4, how, share=0.2)
+    assert rows(joined, "id", "k", "name") == rows(big.join(small_side, "k", how), "id", "k", "name")
+    if how == "inner":
+        merged = plan(joined).split("SortMergeJoin")[1].split("\n   +- ")[0].split("AdaptiveSparkPlan")[0]
+        first = merged.split("BroadcastHashJoin")[0].split("ShuffledHashJoin")[0]
+        assert "Bucketed: true" in first
+
+
+def test_merged_buckets_are_read_as_they_lie(spark):
+    left = spark.range(4000).select((F.col("id") % 500).alias("k"), "id")
+    right = spark.range(500).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    joined = joins.bucketed(left, right, "k", 4)
+    tables = plan(joined).split("Union")[1] if "Union" in plan(joined) else plan(joined)
+    merge = tables[tables.index("SortMergeJoin"):]
+    merge = merge[: merge.index("Join", 20)] if "Join" in merge[20:] else merge
+    assert "Exchange" not in merge and "Sort [" not in merge
+    assert joined.count() == 4000
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_replicated_join_is_the_same_within_and_beyond_its_bounds(big, small_side, how):
+    want = rows(big.join(small_side, "k", how), "id", "k", "v", "name")
+    near = joins.replicated(big, small_side, ["k"], how)
+    assert "BroadcastHashJoin" in plan(near) and rows(near, "id", "k", "v", "name") == want
+    for bound in ({"max_rows": 5}, {"max_bytes": 50}):
+        far = joins.replicated(big, small_side, ["k"], how, **bound)
+        assert "ResolvedHint" not in far._jdf.queryExecution().analyzed().toString().split("Join")[0]
+        assert rows(far, "id", "k", "v", "name") == want
 
 
-def test_replicated_join_has_a_way_beyond_its_bound(big, small_side):
-    want = rows(big.join(small_side, "k", "left"), "id", "k", "v", "name")
-    near = joins.replicated(big, small_side, ["k"], "left")
-    far = joins.replicated(big, small_side, ["k"], "left", max_rows=5)
-    assert "BroadcastHashJoin" in plan(near) and rows(near, "id", "k", "v", "name") == want
-    assert "ResolvedHint" not in far._jdf.queryExecution().analyzed().toString() and rows(far, "id", "k", "v", "name") == want
+@pytest.mark.parametrize("how", ["right", "full", "left_anti", "left_semi"])
+def test_replicated_join_refuses_what_a_copied_side_cannot_do(big, small_side, how):
+    with pytest.raises(ValueError):
+        joins.replicated(big, small_side, ["k"], how)
 
 
-def test_segments_split_the_hot_group_only(big):
-    known = big.where("k IS NOT NULL")
-    listed = aggregates.grouped_values(known, "k", "id", "id", 200)
-    sizes = {(r.k, r.segment): r.n for r in listed.select("k", "segment", F.size("values").alias("n")).collect()}
-    hot = [n for (k, _), n in sizes.items() if k == 7]
-    assert len(hot) >= 5 and max(hot) < 400 and sum(hot) == known.where("k = 7").count()
-    assert all(segment == 0 for k, segment in sizes if k != 7)
-    assert rows(listed.select("k", F.explode("values"))) == rows(known, "k", "id")
+def test_keyed_joins_with_map_columns_and_rows_of_only_a_key(spark, big, small_side):
+    mapped = big.withColumn("m", F.create_map(F.lit("a"), "id"))
+    got = skew.join_keyed(mapped, small_side.where("k IS NOT NULL"), ["k"], "left")
+    want = mapped.join(small_side.where("k IS NOT NULL"), ["k"], "left")
+    assert rows(got.select("id", "name", F.col("m")["a"])) == rows(want.select("id", "name", F.col("m")["a"]))
+    assert rows(joins.full_outer(mapped, small_side, ["k"]).select("id", "name", F.col("m")["a"])) == rows(
+        mapped.join(small_side, "k", "full").select("id", "name", F.col("m")["a"])
+    )
+    only = spark.range(0, 64_000, 1, 64).select(F.lit(1).alias("k"))
+    assert only.select(skew.spread(only, 32).alias("s")).distinct().count() == 32
+    assert skew.join_keyed(only, small_side.where("k = 1"), ["k"], "left_semi").count() == 64_000
 
 
-def test_a_hot_group_does_not_stay_in_one_task(spark, big):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        numbered = skew.with_segment(big.where("k IS NOT NULL"), ["k"], "id", 50)
-        assert "hashpartitioning(k" in plan(numbered) and "segment" in plan(numbered).split("hashpartitioning(")[1]
-        tasks = numbered.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert tasks > 1
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def test_full_outer_reads_each_side_twice_at_most(spark):
+    from clickweave.plans.catalog import BUILDERS
+
+    text = final_plan(BUILDERS["join_full"](spark, "/root/testdata/sf0.01"))
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("customer.parquet") <= 2 and final.count("orders.parquet") <= 2
+
+
+def test_values_have_one_line_each_whatever_the_group(big):
+    known = big.where("k IS NOT NULL")
+    listed = aggregates.grouped_values(known, "k", "id", "id")
+    want = known.select("k", F.row_number().over(W.partitionBy("k").orderBy("id")).cast("long").alias("position"), F.col("id").alias("value"))
+    assert rows(listed) == rows(want)
 
 
 def test_positions_ranks_and_neighbours(big):
@@ -115,11 +143,19 @@ def test_top_of_a_large_group_in_parts(big):
     assert rows(ordering.top_per_group(big, ["k"], order, 40, spread=["id"], salts=8), "k", "id", "rank") == want
 
 
+def test_top_of_very_many(big):
+    with pytest.raises(ValueError):
+        ordering.top_per_group(big, ["k"], [F.desc("v")], 1500)
+    many = ordering.top_per_group(big, ["k"], [F.desc("v")], 1500, spread=["id"])
+    want = big.withColumn("rank", F.row_number().over(W.partitionBy("k").orderBy(F.desc("v"), "id")).cast("long")).where("rank <= 1500")
+    assert rows(many, "k", "id", "rank") == rows(want, "k", "id", "rank")
+
+
 def test_cogroup(spark):
     a = spark.createDataFrame([(1, 10, 0), (1, 11, 1), (2, 20, 2)], "k int, v int, id int")
     b = spark.createDataFrame([(1, 5, 0), (3, 6, 1)], "k int, w int, id int")
-    got = joins.cogroup_segments(a, b, "k", "v", "w", ("id", "id"), 100)
-    assert rows(got) == sorted([(1, 0, [10, 11], [5]), (2, 0, [20], None), (3, 0, None, [6])], key=repr)
+    got = joins.cogroup_values(a, b, "k", "v", "w", ("id", "id"))
+    assert rows(got) == sorted([(1, "left", 1, 10), (1, "left", 2, 11), (2, "left", 1, 20), (1, "right", 1, 5), (3, "right", 1, 6)], key=repr)
 
 
 def test_skew_join_is_split_at_run_time(spark, big, small_side):
@@ -134,7 +170,9 @@ def test_skew_join_is_split_at_run_time(spark, big, small_side):
     for name, value in changed.items():
         spark.conf.set(name, value)
     try:
-        assert "skew=true" in final_plan(joins.left_outer(big, small_side, ["k"]))
+        assert "skew=true" in final_plan(joins.inner(big, small_side, ["k"]))
+        joined = joins.left_outer(big, small_side, ["k"])  # salted, as not every outer join is split at run time
+        assert joined.where("k = 7").select(F.spark_partition_id()).distinct().count() > 1
     finally:
         for name in changed:
             spark.conf.unset(name)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from clickweave.sinks.writers import BatchLog
 from clickweave.streaming import ads, feeds, words
 from clickweave.workspace import fresh_dir
-from conftest import rows
+from conftest import plan, rows
+from replay import replay
 
 CLICK = "event_id long, ts timestamp_ntz, province string, city string, user_id long, ad_id int"
 
@@ -37,7 +38,7 @@ def test_restart_counts_every_row_once(spark):
 
 def test_running_counts_go_on_after_a_restart(spark):
     path, checkpoint = fresh_dir(spark, "in"), fresh_dir(spark, "cp")
-    log = BatchLog(spark, fresh_dir(spark, "log"), "k string, n long", ["k"])
+    log = BatchLog(spark, fresh_dir(spark, "log"), "k string, n long", ["k"], "latest")
     for data in ([("a",), ("b",)], [("a",)]):
         add(spark, path, data, "k string")
         words.running_counts(feeds.files(spark, path, "k string"), ["k"], log, checkpoint)
@@ -47,7 +48,7 @@ def test_running_counts_go_on_after_a_restart(spark):
 def test_rows_later_than_the_watermark_are_dropped(spark):
     path, checkpoint = fresh_dir(spark, "in"), fresh_dir(spark, "cp")
     schema = "ts timestamp_ntz, k string"
-    log = BatchLog(spark, fresh_dir(spark, "log"), "window_start timestamp_ntz, k string, n long", ["window_start", "k"])
+    log = BatchLog(spark, fresh_dir(spark, "log"), "window_start timestamp_ntz, k string, n long", ["window_start", "k"], "latest")
     base = dt.datetime(2024, 1, 1)
     # The late row comes two batches after the row that moved the watermark past it.
     for hours in (0, 5, 9, 0.01):
@@ -60,8 +61,8 @@ def test_rows_later_than_the_watermark_are_dropped(spark):
 def test_windowed_top_over_two_batches(spark):
     path, checkpoint = fresh_dir(spark, "in"), fresh_dir(spark, "cp")
     schema = "window_start timestamp_ntz, word string, n long"
-    log = BatchLog(spark, fresh_dir(spark, "log"), schema, ["window_start", "word"])
-    top = BatchLog(spark, fresh_dir(spark, "top"), schema + ", rank int", ["window_start", "rank"])
+    log = BatchLog(spark, fresh_dir(spark, "log"), schema, ["window_start", "word"], "latest", day="window_start")
+    top = BatchLog(spark, fresh_dir(spark, "top"), schema + ", rank int", ["window_start", "rank"], "latest", day="window_start")
     at = dt.datetime(2024, 1, 1, 0, 0, 30)
     for batch in (["a", "a", "b"], ["b", "b", "c", "d"]):
         add(spark, path, [(at, w) for w in batch], "ts timestamp_ntz, word string")
@@ -113,10 +114,65 @@ def test_empty_batch(spark, tables):
 
 
 def test_hour_totals(spark):
-    at = dt.datetime(2024, 1, 1, 10, 0)
-    trend = spark.createDataFrame([(at, 1, 5), (at + dt.timedelta(minutes=59), 1, 2), (at + dt.timedelta(minutes=60), 1, 1)], "window_start timestamp_ntz, ad_id int, n long")
-    got = {r.last_minute: r.clicks for r in ads.hour_totals(trend).collect()}
-    assert (got[at], got[at + dt.timedelta(minutes=59)], got[at + dt.timedelta(minutes=60)]) == (5, 7, 3)
+    at, second = dt.datetime(2024, 1, 1, 10, 0), lambda n: dt.timedelta(seconds=n)
+    counts = spark.createDataFrame([(at, 1, 5), (at + second(3590), 1, 2), (at + second(3600), 1, 1)], "window_start timestamp_ntz, ad_id int, n long")
+    got = {r.window_end: r.clicks for r in ads.hour_totals(counts).collect()}
+    assert got == {at + second(10): 5, at + second(3600): 7, at + second(3610): 3, at + second(7190 + 10): 1, at + second(7210): 0}
+
+
+def test_a_log_that_is_folded_and_tried_again_keeps_its_totals(spark):
+    log = BatchLog(spark, fresh_dir(spark, "folded"), "k string, n long", ["k"], every=2)
+    batch = lambda n: spark.createDataFrame([("a", n), ("b", 1)], "k string, n long")
+    for i in range(6):
+        log.write(batch(i), i)
+        log.write(batch(i), i)  # tried again
+    folded = max(log._ids("folded"))
+    assert folded >= 3
+    for i in range(folded + 1):  # retries of batches that the fold holds
+        log.write(batch(100), i)
+    assert rows(log.totals()) == [("a", 15), ("b", 6)]
+    last = BatchLog(spark, fresh_dir(spark, "folded"), "k string, n long", ["k"], "latest", every=2)
+    for i in range(6):
+        last.write(batch(i), i)
+    assert rows(last.latest()) == [("a", 5), ("b", 1)]
+
+
+def test_a_batch_reads_as_many_folders_after_fifty_batches(spark):
+    log = BatchLog(spark, fresh_dir(spark, "long"), "day string, n long", ["day"], every=4, day="day")
+    only = BatchLog(spark, fresh_dir(spark, "only"), "day string, n long", ["day"], "batch", day="day")
+    most = 0
+    for i in range(50):
+        row = spark.createDataFrame([(f"2024-01-{1 + i // 5:02d}", 1)], "day string, n long").coalesce(1)
+        log.write(row, i)
+        only.write(row, i)
+        most = max(most, len(log._ids("batches")) + len(log._ids("folded")))
+    assert most <= 6 and len(only._ids("batches")) <= 2
+    assert rows(log.totals()) == [(f"2024-01-{d:02d}", 5) for d in range(1, 11)]
+    assert "PartitionFilters: [isnotnull(_day" in plan(log.totals(("2024-01-03", "2024-01-04")))
+    assert rows(log.totals(("2024-01-03", "2024-01-04"))) == [("2024-01-03", 5), ("2024-01-04", 5)]
+
+
+def test_ad_tables_over_many_arrivals(spark):
+    """The events of the smallest tables arrive ten days at a time; the same as counting batch by batch by hand."""
+    from clickweave.plans import views
+
+    clicks = views.ad_clicks(spark, "/root/testdata/sf0.001")
+    tables, checkpoint = ads.AdTables.under(spark, fresh_dir(spark, "ads")), fresh_dir(spark, "cp")
+    replay(clicks, "ts", 10, lambda path: ads.ad_job(feeds.files(spark, path, clicks.schema), tables, 2, checkpoint))
+    all_clicks = clicks.collect()
+    first = min(c.ts.date() for c in all_clicks)
+    counts, listed, kept = {}, {}, []
+    for c in sorted(all_clicks, key=lambda c: c.ts):
+        batch = (c.ts.date() - first).days // 10
+        if listed.get(c.user_id, batch) >= batch:
+            key = (str(c.ts.date()), c.user_id, c.ad_id)
+            counts[key] = counts.get(key, 0) + 1
+            kept.append(c)
+            if counts[key] >= 2:
+                listed.setdefault(c.user_id, batch)
+    assert rows(tables.user_counts.totals()) == sorted([(*k, n) for k, n in counts.items()], key=repr)
+    assert {r.user_id for r in tables.blacklist.rows().collect()} == set(listed)
+    assert sum(r.clicks for r in tables.ad_stat.totals().collect()) == len(kept)
 
 
 def test_malformed_log_lines(spark):
@@ -128,5 +184,5 @@ def test_malformed_log_lines(spark):
 
 def test_replay_of_an_empty_table_still_runs(spark):
     ran = []
-    feeds.replay(spark.createDataFrame([], CLICK), "ts", 10, ran.append)
+    replay(spark.createDataFrame([], CLICK), "ts", 10, ran.append)
     assert len(ran) == 1

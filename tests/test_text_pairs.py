@@ -1,31 +1,7 @@
-import itertools
-import random
-
 from pyspark.sql import functions as F
 
 from clickweave.operators import filters
-from clickweave.operators.pairs import common_word_pairs
-from conftest import rows
-
-
-def brute_force(texts, least):
-    out = []
-    for a, b in itertools.permutations(sorted(set(texts)), 2):
-        shared = set(a.split(" ")) & set(b.split(" "))
-        if len(shared) >= least:
-            out.append((a, b, ",".join(sorted(shared)), texts.count(a) * texts.count(b)))
-    return sorted(out, key=repr)
-
-
-def test_pairs_equal_brute_force(spark):
-    random.seed(3)
-    vocabulary = [f"w{i}" for i in range(25)] + ["the"] * 20 + ["a"] * 15
-    texts = [" ".join(random.choices(vocabulary, k=random.randint(1, 9))) for _ in range(60)]
-    texts += [texts[0]] * 30  # a third are copies of one text
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    for block in (1000, 4):
-        got = common_word_pairs(df, "text", F.split("text", " "), 3, block)
-        assert rows(got) == brute_force(texts, 3)
+from conftest import plan, rows
 
 
 def _docs_and_words(spark):
@@ -37,18 +13,17 @@ def _docs_and_words(spark):
 def test_bloom_keeps_every_member_and_few_others(spark):
     docs, words, tokens = _docs_and_words(spark)
     exact = set(rows(filters.keep_by_join(docs, tokens, words, "word", "id"), "id"))
-    kept = set(rows(filters.keep_by_bloom(docs, tokens, words, "word", 0.01, "id"), "id"))
+    kept = set(rows(filters.keep_by_bloom(docs, tokens, words, "word", 50, 0.01), "id"))
     assert exact <= kept and len(kept - exact) <= 40
 
 
-def test_bloom_beyond_its_bound_is_an_exact_join(spark, monkeypatch):
+def test_bloom_of_more_words_than_declared_loses_no_member(spark):
     docs, words, tokens = _docs_and_words(spark)
-    monkeypatch.setattr(filters, "MAX_BITS", 10)
-    assert rows(filters.keep_by_bloom(docs, tokens, words, "word", 0.01, "id"), "id") == rows(
-        filters.keep_by_join(docs, tokens, words, "word", "id"), "id"
-    )
+    exact = set(rows(filters.keep_by_join(docs, tokens, words, "word", "id"), "id"))
+    kept = filters.keep_by_bloom(docs, tokens, words, "word", 2, 0.01)
+    assert exact <= set(rows(kept, "id")) and "Join" not in plan(kept)
 
 
 def test_bloom_of_nothing_keeps_nothing(spark):
     docs, words, tokens = _docs_and_words(spark)
-    assert filters.keep_by_bloom(docs, tokens, words.where("false"), "word", 0.01, "id").count() == 0
+    assert filters.keep_by_bloom(docs, tokens, words.where("false"), "word", 50, 0.01).count() == 0
