@@ -41,6 +41,7 @@ class Settings:
     shortest: int = 2
     longest: int = 4
     epochs: int = 8
+    least_steps: int = 6000  # small samples are gone through more often
     rate: float = 0.5
     train_rows: int = 6000
     train_features: int = 20_000_000
@@ -116,8 +117,9 @@ def trained(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], s: Set
     draw = np.random.default_rng(7)
     start = draw.uniform(-1 / s.dimensions, 1 / s.dimensions, (s.buckets, s.dimensions)).astype(np.float32)
     model = Model(start, np.zeros((2, s.dimensions), np.float32), np.zeros(2, np.float32))
-    steps, step = max(1, s.epochs * len(bags)), 0
-    for _ in range(s.epochs):
+    epochs = max(s.epochs, -(-s.least_steps // max(1, len(bags))))
+    steps, step = max(1, epochs * len(bags)), 0
+    for _ in range(epochs if bags else 0):
         for i in draw.permutation(len(bags)):
             features, shares = bags[i]
             rate = np.float32(s.rate * (1 - step / steps))

@@ -83,7 +83,7 @@ def chunks(docs: DataFrame, bits: int, least: int, most: int) -> DataFrame:
             for name, text in zip(batch["doc_id"], batch["text"]):
                 raw = text.encode()
                 ends = cuts(np.frombuffer(raw, "u1"), bits, least, most).tolist()
-                begins = [0, *ends[:-1]]
+                begins = [0, *ends[:-1]] if ends else []
                 ids.append(np.full(len(ends), name, np.int64))
                 digests += [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(begins, ends)]
                 starts += begins
