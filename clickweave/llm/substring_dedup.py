@@ -2,13 +2,14 @@
 
 A gear hash rolls over the UTF-8 bytes of a text; a chunk ends where its top bits are zero, unless another
 such place lies within the ``least`` bytes before. Whether a place is a cut depends only on the bytes just
-before it, so an insertion moves no cut outside its neighbourhood. A stretch without cuts is cut every
-``most`` bytes. Chunks are known by a 64-bit digest.
+before it, so an insertion moves no cut outside its neighbourhood. A long stretch without cuts, such as one word
+over and over, is cut where the hash is smallest among the last 32, at least 32 bytes apart, and every ``most``
+bytes at the latest. Chunks are known by a 64-bit digest.
 
 1. Chunks (digest, doc_id, pos, size) are sorted by digest over range partitions; the first chunk of a digest
    (smallest doc_id, then place) is the original. A sorted partition is read as a stream that keeps one
    original; only a digest that goes on over a partition border is settled afterwards, from one line per
-   partition. So a chunk may have any share of all rows.
+   partition. So a chunk may have any share of all rows. Of equal chunks of one document the first counts.
 2. Copies in another document than their original's are gathered by (document, original's document, shift).
    With at least ``seed`` bytes of such chunks, the bytes around them, up to ``reach`` more on either side, are
    cut out of both texts.
@@ -31,10 +32,11 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.llm.common import in_order, texts
+from clickweave.llm.common import in_order, texts, tidy
 from clickweave.workspace import stored
 
 _WINDOW = 32  # bytes that a 32-bit gear hash remembers
+_WIDE = 160  # a stretch without cuts that is longer is cut by another rule
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -66,14 +68,32 @@ def cuts(data: np.ndarray, bits: int, least: int, most: int) -> np.ndarray:
     """Ends of the chunks of ``data``; the last is its length."""
     if not len(data):
         return np.empty(0, np.int64)
-    marks = np.flatnonzero(rolled(data) >> np.uint32(32 - bits) == 0) + 1
+    h = rolled(data)
+    marks = np.flatnonzero(h >> np.uint32(32 - bits) == 0) + 1
     if len(marks):
         marks = marks[np.diff(marks, prepend=-least - 1) > least]
     ends = np.append(marks, len(data)) if not len(marks) or marks[-1] != len(data) else marks
     gaps = np.diff(ends, prepend=0)
-    if gaps.max() > most:
-        ends = np.concatenate([np.append(np.arange(e - g + most, e, most), e) for e, g in zip(ends.tolist(), gaps.tolist())])
-    return ends
+    if gaps.max() > _WIDE:
+        ends = np.concatenate([_stretch(h[e - g : e], e - g, most) if g > _WIDE else [e] for e, g in zip(ends.tolist(), gaps.tolist())])
+    return ends.astype(np.int64)
+
+
+def _stretch(h: np.ndarray, start: int, most: int) -> np.ndarray:
+    """Cuts of a stretch without any, by the hashes at its bytes."""
+    low, span = h.copy(), 1
+    while span < _WINDOW:  # smallest of the last 32
+        low[span:] = np.minimum(low[span:], low[:-span])
+        span *= 2
+    places = np.flatnonzero(low == h) + 1
+    places = places[places >= _WINDOW]
+    found, at = [], 0
+    while at < len(h):
+        i = int(np.searchsorted(places, at + _WINDOW))
+        following = int(places[i]) if i < len(places) else len(h)
+        at = min(following, at + most, len(h))
+        found.append(start + at)
+    return np.array(found, np.int64)
 
 
 def chunks(docs: DataFrame, bits: int, least: int, most: int) -> DataFrame:
@@ -105,7 +125,7 @@ def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     Rows of the partition's first digest are unsure, its original may lie further left; a last line tells
     the partition's last digest with its original.
     """
-    digest, first_doc, first_pos, head = None, 0, 0, None
+    digest, first_doc, first_pos, head, last_doc = None, 0, 0, None, None
     for batch in batches:
         if not len(batch):
             continue
@@ -119,9 +139,11 @@ def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = np.flatnonzero(new)
         docs0, pos0 = np.append(first_doc, doc[at]), np.append(first_pos, pos[at])
         unsure = d == head
+        again = np.append(not new[0] and doc[0] == last_doc, ~new[1:] & (doc[1:] == doc[:-1]))  # of one document
+        last_doc = doc[-1]
         out = batch.assign(kind=np.where(unsure, _UNSURE, _COPY).astype(np.int32), first_doc=docs0[group], first_pos=pos0[group])
         digest, first_doc, first_pos = d[-1], docs0[group[-1]], pos0[group[-1]]
-        yield out.loc[unsure | ~new, ["kind", "digest", "doc_id", "pos", "size", "first_doc", "first_pos"]]
+        yield out.loc[(unsure | ~new) & ~again, ["kind", "digest", "doc_id", "pos", "size", "first_doc", "first_pos"]]
     if head is not None:
         yield pd.DataFrame({
             "kind": [_TAIL], "digest": [digest], "doc_id": [first_doc], "pos": [first_pos], "size": [0], "first_doc": [first_doc], "first_pos": [first_pos],
@@ -170,6 +192,7 @@ def equal_stretches(mine: bytes, other: bytes, shift: int, words: int) -> list[t
     return found
 
 
+@tidy
 def repeated_spans(
     docs: DataFrame, words: int = 50, bits: int = 5, least: int = 8, most: int = 1024, seed: int = 32, reach: int = 1024,
     doc_id: str = "doc_id", text: str = "text",

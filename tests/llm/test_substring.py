@@ -74,3 +74,10 @@ def test_a_hot_passage_over_many_partitions(spark):
 
 def test_a_cut_never_splits_a_character():
     assert s.removed("aéb", [(0, 2)]) == "éb" and s.removed("aéb", [(2, 2)]) == "aé" and s.removed("abc", [(0, 1), (0, 2)]) == "c"
+
+
+def test_a_word_over_and_over_is_found_too(spark):
+    draw = random.Random(8)
+    texts = [f"{words(draw, 40)} {'and ' * draw.randrange(60, 500)}{words(draw, 40)}" for _ in range(12)] + [words(draw, 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in s.repeated_spans(docs).collect()} == set(range(1, 12))
