@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clickweave.workspace import fresh_dir, scope, stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,6 +26,18 @@ def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Run an operator whole, keep its result and remove the tables it made on the way."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **settings) -> DataFrame:
+        path = fresh_dir(docs.sparkSession, operator.__name__)
+        with scope(docs.sparkSession):
+            return stored(operator(docs, *args, **settings), "", path)
+
+    return run
+
+
 def in_order(df: DataFrame, *order: str | Column) -> DataFrame:
     """Range partitions, each sorted. An order that ends in a near-unique column spreads groups of any size."""
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
