@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickweave.llm import best_fit, divide_skip, mph_dedup, pfair_mix, quality
 from clickweave.llm.common import table
 from clickweave.llm.queries import MIX_WEIGHTS, TOKENIZER
-from clickweave.workspace import fresh_dir, stored
+from clickweave.workspace import fresh_dir, scope, stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; what a stage made on the way goes with it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = fresh_dir(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
