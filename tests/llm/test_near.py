@@ -110,3 +110,26 @@ def test_components_of_chains_stars_and_nothing(spark):
     got = rows(c.components(spark.createDataFrame(edges, "u long, v long")))
     assert got == sorted([(i, 0) for i in range(41)] + [(i, 100) for i in range(100, 160)] + [(300, 300), (301, 300)], key=repr)
     assert c.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 400), st.integers(1, 400), st.integers(0, 400))
+def test_sketches_never_lose_a_link(seed, n, m, common):
+    draw = np.random.default_rng(seed)
+    common = min(common, n, m)
+    every = np.unique(draw.integers(0, 2**63, n + m, dtype=np.uint64) * np.uint64(2))
+    a, b = every[:n], np.concatenate([every[:common], every[n : n + m - common]])
+    x, y = (np.frombuffer(d.sketch(s), "u1").astype(np.int64) for s in (a, b))
+    if d.links(len(a), len(b), common, 80):
+        assert d.may_link(len(a), x, len(b), y, 80)
+
+
+def test_runs_over_batches_and_partitions(spark):
+    draw = random.Random(9)
+    said = [t for size in (3, 90, 150, 2, 2, 70) for t in family(draw, size, 30, 2)]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        check(docs, block_docs=16)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
