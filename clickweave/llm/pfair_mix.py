@@ -5,13 +5,16 @@ released at slot floor((j - 1) / w) and due by slot ceil(j / w); of the released
 earliest deadline gets the next slot (ties: first source in order). At every slot each source has then had its
 weight's share of the slots, to less than one block.
 
-Weights are taken as fractions of ``period`` (largest remainders, at least one), so the schedule repeats every
-``period`` slots and one period, computed by an SQL fold, tells the slot of every block by arithmetic. When a
-source runs out, the weights of the others are scaled up and a new phase begins with a period of its own;
-there are at most as many phases as sources. All documents come out, each once.
+Weights are exact: as whole numbers without a common divisor (decimals as they are written), their sum is the
+period after which the schedule repeats, so one period tells the slot of every block by arithmetic. When a source
+runs out, the weights of the others are scaled up and a new phase begins with a period of its own; there are at
+most as many phases as sources. The driver makes the slots of one period of each phase, or of the whole phase
+where that is shorter, so never more than the table has blocks, whatever the weights and however many sources;
+above ``max_numbers`` it raises. All documents come out, each once. Only if ``period`` is given are weights rounded
+to that many parts (largest remainders, at least one), and the shares are those of the parts.
 
 Documents are numbered within their source by one sort over range partitions, so a source may hold any share
-of the rows. Only the table of sources (phases x period numbers, checked) is copied to every task. All is
+of the rows. Only the table of sources (the slots above, checked) is copied to every task. All that touches rows is
 DataFrame and SQL functions.
 
 A null source is a source of its own. Sources without a given weight have weight ``default``. Equal rows and
@@ -20,8 +23,11 @@ rows without a doc_id are documents like others. An empty table gives an empty r
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
+from heapq import heappop, heappush
+from itertools import islice
+from math import gcd, lcm
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,54 +51,78 @@ def shares(weights: list[float], period: int) -> list[int]:
     return parts
 
 
-def one_period(spark: SparkSession, parts: list[int]) -> list[int]:
-    """The source of every slot of a period: earliest deadline first among the released blocks."""
-    period = sum(parts)
-    due = f"transform(w, (a, i) -> named_struct('due', ceil((s.done[i] + 1) * {period} / a), 'i', i, 'out', s.done[i] * {period} div a))"
-    pick = f"array_min(filter({due}, b -> b.out <= t)).i"
-    fold = f"""
-        aggregate(sequence(0, {period - 1}),
-            named_struct('done', transform(w, a -> 0L), 'slots', cast(array() AS array<int>)),
-            (s, t) -> transform(array({pick}), p -> named_struct(
-                'done', transform(s.done, (d, i) -> if(i = p, d + 1, d)), 'slots', concat(s.slots, array(p))))[0],
-            s -> s.slots)
-    """
-    weights = ", ".join(f"{a}L" for a in parts)
-    return list(spark.sql(f"SELECT {fold} AS slots FROM (SELECT array({weights}) AS w)").first()["slots"])
-
-
-def phases(spark: SparkSession, blocks: list[int], weights: list[float], period: int) -> list[dict]:
-    """Per phase: its first slot, and per source still in it the blocks before, its part and its slots."""
-    left, done, start, found = list(blocks), [0] * len(blocks), 0, []
+def exact_parts(weights: list[float]) -> list[int]:
+    """The smallest whole numbers in proportion to the weights; a decimal counts as it is written."""
+    exact = [Fraction(str(w)) for w in weights]
+    over = lcm(*(w.denominator for w in exact))
+    whole = [int(w * over) for w in exact]
+    common = gcd(*whole)
+    return [w // common for w in whole]
+
+
+def schedule(parts: list[int]) -> Iterator[int]:
+    """The source of every slot, without end: earliest deadline first among the released blocks."""
+    period, slot = sum(parts), 0
+    waiting = [(0, i, 0) for i in range(len(parts))]  # (released at, source, block)
+    ready: list[tuple[int, int, int]] = []  # (due, source, block)
+    while True:
+        while waiting and waiting[0][0] <= slot:
+            _, i, block = heappop(waiting)
+            heappush(ready, (-(-(block + 1) * period // parts[i]), i, block))
+        _, i, block = heappop(ready)
+        heappush(waiting, ((block + 1) * period // parts[i], i, block + 1))
+        yield i
+        slot += 1
+
+
+def one_period(_: SparkSession, parts: list[int]) -> list[int]:
+    """The source of every slot of a period."""
+    return list(islice(schedule(parts), sum(parts)))
+
+
+def phases(blocks: list[int], weights: list[float], period: int | None, max_numbers: int) -> list[dict]:
+    """Per phase: its first slot and period, and per source still in it the blocks before, its part and its slots."""
+    left, done, start, found, numbers = list(blocks), [0] * len(blocks), 0, [], 0
     while any(left):
         active = [i for i, n in enumerate(left) if n]
-        parts = shares([weights[i] for i in active], period)
+        wanted = [weights[i] for i in active]
+        parts = exact_parts(wanted) if period is None else shares(wanted, period)
+        whole = sum(parts)
         slots: list[list[int]] = [[] for _ in active]
-        for slot, pick in enumerate(one_period(spark, parts)):
+        numbers += len(active)
+        for slot, pick in enumerate(islice(schedule(parts), whole)):
+            numbers += 1
+            if numbers > max_numbers:
+                raise ValueError("too many slots or sources for the driver")
             slots[pick].append(slot)
+            if len(slots[pick]) == left[active[pick]]:  # runs out in the first period; later slots are not needed
+                break
         # the slot after each source's last block; the phase ends with the first of them
-        ends = [(left[i] - 1) // a * period + s[(left[i] - 1) % a] + 1 for i, a, s in zip(active, parts, slots)]
+        ends = [
+            (left[i] - 1) // a * whole + s[(left[i] - 1) % a] + 1
+            for i, a, s in zip(active, parts, slots) if (left[i] - 1) % a < len(s)
+        ]
         end = min(ends)
         lines = []
         for i, a, s in zip(active, parts, slots):
             lines.append((i, done[i], a, s))
-            taken = end // period * a + sum(x < end % period for x in s)
+            taken = end // whole * a + sum(x < end % whole for x in s)
             left[i] -= taken
             done[i] += taken
-        found.append({"start": start, "sources": lines})
+        found.append({"start": start, "period": whole, "sources": lines})
         start += end
     return found
 
 
-def _slot(block: int, source: int, plan: list[dict], period: int) -> int:
+def _slot(block: int, source: int, plan: list[dict]) -> int:
     """The slot of a block, as the SQL below finds it for all rows."""
-    phase = [(p["start"], *line[1:]) for p in plan for line in p["sources"] if line[0] == source and line[1] <= block][-1]
-    start, before, part, slots = phase
+    phase = [(p["start"], p["period"], *line[1:]) for p in plan for line in p["sources"] if line[0] == source and line[1] <= block][-1]
+    start, period, before, part, slots = phase
     return start + (block - before) // part * period + slots[(block - before) % part]
 
 
 def mix(
-    docs: DataFrame, weights: Mapping[str | None, float] | None = None, default: float = 1.0, block_rows: int = 16, period: int = 1000,
+    docs: DataFrame, weights: Mapping[str | None, float] | None = None, default: float = 1.0, block_rows: int = 16, period: int | None = None,
     doc_id: str = "doc_id", source: str = "source", max_numbers: int = 10_000_000,
 ) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), source, block and position of every row, from 0 without gaps."""
@@ -107,20 +137,18 @@ def mix(
     if any(w <= 0 for w in wanted):
         raise ValueError("weights must be positive")
     blocks = [-(-line["count"] // block_rows) for line in counts]
-    plan = phases(spark, blocks, wanted, period)
-    if len(plan) * period > max_numbers:
-        raise ValueError("too many sources for this period")
+    plan = phases(blocks, wanted, period, max_numbers)
     # Only the last block of a source may be short; places after it move up.
     short = [
-        (_slot(blocks[i] - 1, i, plan, period), blocks[i] * block_rows - line["count"])
+        (_slot(blocks[i] - 1, i, plan), blocks[i] * block_rows - line["count"])
         for i, line in enumerate(counts) if line["count"] % block_rows
     ]
     lookup, before = [], 0
     for i, line in enumerate(counts):
-        steps = [(p["start"], *mine[1:]) for p in plan for mine in p["sources"] if mine[0] == i]
+        steps = [(p["start"], p["period"], *mine[1:]) for p in plan for mine in p["sources"] if mine[0] == i]
         lookup.append((line["source"], before, steps))
         before += line["count"]
-    step = "array<struct<start: long, before: long, part: long, slots: array<int>>>"
+    step = "array<struct<start: long, period: long, before: long, part: long, slots: array<int>>>"
     table = spark.createDataFrame(lookup, f"name string, first long, steps {step}")
     gaps = F.array(*[F.struct(F.lit(s).cast("long").alias("slot"), F.lit(n).cast("long").alias("gap")) for s, n in short])
 
@@ -132,7 +160,7 @@ def mix(
     placed = placed.select("row", "source", "block", "inside", phase.alias("phase"))
     past = F.col("block") - F.col("phase.before")
     in_period = F.element_at("phase.slots", (past % F.col("phase.part")).cast("int") + 1)
-    slot = F.col("phase.start") + F.floor(past / F.col("phase.part")) * period + in_period
+    slot = F.col("phase.start") + F.floor(past / F.col("phase.part")) * F.col("phase.period") + in_period
     placed = placed.select("row", "source", "block", "inside", slot.cast("long").alias("slot"))
     moved = F.lit(0).cast("long")
     if short:

@@ -1,4 +1,5 @@
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 
@@ -67,3 +68,32 @@ def test_empty_table_and_columns(no_docs, odd_docs):
 def test_no_python_in_the_plan(odd_docs):
     shown = plan(p.mixed(odd_docs))
     assert not any(word in shown for word in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_true_weights_over_thousands_of_slots(spark):
+    weights = {"s00": 4.0, "s01": 2.0, "s02": 0.3}
+    names = [f"s{i:02}" for i in range(20)]
+    true = [Fraction(str(weights.get(n, 1.0))) for n in names]
+    total = sum(true)
+    docs = spark.range(7000).selectExpr("id AS doc_id", "CASE WHEN id < 1300 THEN 's00' WHEN id < 2000 THEN 's01' ELSE concat('s', lpad(2 + id % 18, 2, '0')) END AS source")
+    sizes = Counter(r.source for r in docs.collect())
+    got = [r.source for r in p.mix(docs, weights, block_rows=1).orderBy("position").collect()]
+    done = Counter()
+    for t, name in enumerate(got, 1):
+        done[name] += 1
+        assert all(abs(done[n] - t * w / total) < 1 for n, w in zip(names, true))
+        if done[name] == sizes[name]:  # a new phase
+            break
+    assert t > 5000
+
+
+def test_more_sources_than_a_thousand(spark):
+    docs = spark.range(3600).selectExpr("id AS doc_id", "concat('s', id % 1200) AS source")
+    got = [r.source for r in p.mix(docs, block_rows=1).orderBy("position").collect()]
+    assert all(len(set(got[at : at + 1200])) == 1200 for at in (0, 1200, 2400))
+
+
+def test_awkward_weights_make_no_more_slots_than_there_are_blocks():
+    plan = p.phases([50, 30, 7], [1 / 3, 0.123456789, 7.7], None, 200)
+    assert sum(sum(len(s) for *_, s in phase["sources"]) for phase in plan) <= 87
+    assert p.exact_parts([0.3, 0.2, 7.0]) == [3, 2, 70] and p.exact_parts([4.0, 2.0] + [1.0] * 18) == [4, 2] + [1] * 18
