@@ -13,6 +13,11 @@ from the end, so the first piece may be shorter; full pieces are sequences by th
 are dealt by hash to blocks of about ``block_rows`` and packed block by block: each task holds one block, and
 a block leaves about one sequence partly empty.
 
+With ``order`` (a column of whole numbers that no two rows share) blocks are consecutive ranges of the pieces in
+that order instead, full pieces among them. Sequences are numbered block by block, and in a block by the place of
+their longest piece (ties: the first), so sequence_id follows the order: the sequences up to the end of a block
+hold just the pieces up to there.
+
 A null or empty text is just the end id. Equal rows and rows without a doc_id are documents like others: a
 piece carries a row number that no two rows share. An empty table gives an empty result.
 """
@@ -33,6 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from clickweave.llm.common import texts
+from clickweave.operators.ordering import with_position
 from clickweave.workspace import stored
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -132,8 +138,10 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(starts, [*starts[1:], length])]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id: str, text: str, keep_ids: bool) -> DataFrame:
-    """Token pieces of every document: ``PIECES``, and ``ids`` (32-bit numbers) if wanted."""
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id: str, text: str, keep_ids: bool, order: str | None = None,
+) -> DataFrame:
+    """Token pieces of every document: ``PIECES``, and ``ids`` (32-bit numbers) if wanted; ``row`` is ``order`` if given."""
     end = np.array([end_id], "<u4").tobytes()
 
     def tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +157,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id:
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    rows = texts(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
+    if order is None:
+        rows = texts(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
+    else:
+        said = F.coalesce(F.col(text), F.lit("")).alias("text")
+        rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), said, F.col(order).cast("long").alias("row"))
     return rows.mapInPandas(tokenized, PIECES + ", ids binary" * keep_ids)
 
 
@@ -193,12 +205,16 @@ def best_fit(
 def pack(
     docs: DataFrame, tokenizer: str, tokens: int = 2048, documents: float = math.inf, attention: float = math.inf, end_id: int = 0,
     weights: tuple[float, float, float] = (1.0, 1.0, 1.0), rule: str = "norm", block_rows: int = 8192,
-    doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False,
+    doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False, order: str | None = None,
 ) -> DataFrame:
     """Pieces with sequence_id and offset; with ``keep_ids`` also their ids, see ``sequences``."""
     if attention < tokens**2 or documents < 1:
         raise ValueError("a full piece must fit a sequence")
-    cut_up = stored(pieces(docs, tokenizer, tokens, end_id, doc_id, text, keep_ids), "pieces")
+    cut_up = stored(pieces(docs, tokenizer, tokens, end_id, doc_id, text, keep_ids, order), "pieces")
+    names = [c for c in cut_up.columns if c != "row"]
+    if order is not None:
+        places = _packed_in_order(cut_up, tokens, documents, attention, weights, rule, block_rows)
+        return cut_up.join(places, ["row", "piece"]).select(*names, "sequence_id", "offset")
     whole = cut_up.where(F.col("length") == tokens)
     rest = cut_up.where(F.col("length") < tokens).select("row", "piece", "length")
     blocks = max(1, math.ceil(rest.count() / block_rows))
@@ -212,12 +228,38 @@ def pack(
 
     dealt = rest.withColumn("block", F.pmod(F.xxhash64("row", "piece"), F.lit(blocks)))
     places = dealt.groupBy("block").applyInPandas(packed, "row long, piece int, sequence_id long, offset long")
-    names = [c for c in cut_up.columns if c != "row"]
     alone = whole.select(*names, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     together = cut_up.where(F.col("length") < tokens).join(places, ["row", "piece"]).select(*names, "sequence_id", "offset")
     return alone.unionByName(together)
 
 
+def _packed_in_order(
+    cut_up: DataFrame, tokens: int, documents: float, attention: float, weights: tuple[float, float, float], rule: str, block_rows: int,
+) -> DataFrame:
+    """sequence_id and offset of every (row, piece), in blocks of consecutive pieces."""
+    total = cut_up.count()
+    blocks = max(1, math.ceil(total / block_rows))
+
+    def packed(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(["length", "place"], ascending=[False, True], ignore_index=True)
+        # full pieces come first and are sequences by themselves
+        full = int((block["length"] == tokens).sum())
+        bins = best_fit(block["length"].to_numpy()[full:], tokens, documents, attention, weights, rule)
+        bins = np.concatenate([np.arange(full), full + bins])
+        # a bin's first piece is its longest
+        firsts = block["place"].to_numpy()[np.unique(bins, return_index=True)[1]]
+        number = np.empty(len(firsts), np.int64)
+        number[np.argsort(firsts)] = np.arange(len(firsts))
+        block["sequence_id"] = (key[0] << 32) + number[bins]
+        block["offset"] = block.groupby("sequence_id")["length"].cumsum() - block["length"]
+        return block[["row", "piece", "sequence_id", "offset"]]
+
+    placed = with_position(cut_up.select("row", "piece", "length"), ["row", "piece"], "place")
+    # blocks of equal size, so the last is not a short one
+    dealt = placed.withColumn("block", F.expr(f"(place - 1) * {blocks}L div {max(1, total)}L"))
+    return dealt.groupBy("block").applyInPandas(packed, "row long, piece int, sequence_id long, offset long")
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """The token sequences of ``pack(..., keep_ids=True)``: sequence_id, ids (32-bit numbers), doc_ids, lengths."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "length", "ids")))

@@ -8,7 +8,9 @@ the next one's documents:
 3. ``near_dedup``: of each component of near duplicates (five-word shingles, similarity 0.8) the document with
    the smallest doc_id stays.
 4. ``mix``: documents come in an order that follows the target weights of their sources at every point.
-5. ``pack``: texts become tokens, packed into sequences of 2048.
+5. ``pack``: texts become tokens, packed into sequences of 2048, which are numbered in the order of stage 4: the
+   stage's files are read in the order of their part numbers, and their rows by their place in the file. Blocks are
+   about 1,024 pieces, so sequences leave the order by no more than that.
 
 All columns of documents pass through stages 1 to 4. Nulls, empty texts, ties, equal rows and empty tables are
 treated as the operators' docstrings say. Rows without a doc_id are never near duplicates.
@@ -16,6 +18,8 @@ treated as the operators' docstrings say. Rows without a doc_id are never near d
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickweave.llm import best_fit, divide_skip, mph_dedup, pfair_mix, quality
@@ -43,8 +47,23 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pfair_mix.mixed(docs, weights=MIX_WEIGHTS)
 
 
+def in_file_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``place`` of every row: a number that rises with its file's number and its row in the file.
+
+    Spark reads files by size, not by name. The names, one per file, are sorted on the driver.
+    """
+    at = docs.metadataColumn("_metadata")
+    rows = docs.select("doc_id", "text", at["file_path"].alias("file"), at["row_index"].alias("row"))
+    files = [r["file"] for r in rows.select("file").distinct().collect()]
+    # numbers in names count as numbers, so part-100000 comes after part-99999
+    files.sort(key=lambda name: [int(x) if x.isdecimal() else x for x in re.split(r"([0-9]+)", name)])
+    numbers = spark.createDataFrame(list(enumerate(files)), "number long, name string")
+    placed = rows.join(F.broadcast(numbers), F.col("file") == F.col("name"))
+    return placed.select("doc_id", "text", (F.shiftleft("number", 40) + F.col("row")).alias("place"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return best_fit.pack(docs, TOKENIZER, tokens=2048)
+    return best_fit.pack(in_file_order(spark, docs), TOKENIZER, tokens=2048, order="place", block_rows=1024)
 
 
 STAGES = [("quality", keep_quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("pack", pack)]

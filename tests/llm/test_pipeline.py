@@ -1,5 +1,7 @@
 import hashlib
+import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -7,7 +9,7 @@ import pytest
 
 import __spark_entry__ as app
 import corpus_pipeline as cp
-from clickweave.llm import quality
+from clickweave.llm import best_fit, pfair_mix, quality
 from clickweave.llm.queries import BUILDERS, SQL
 from llm_help import no_docs, odd_docs  # noqa: F401
 from test_mix import check as check_mix
@@ -75,3 +77,39 @@ def test_odd_rows_and_no_rows_pass(spark, small, odd_docs, no_docs, tmp_path):
 
 def test_mix_keeps_targets(spark, small):
     check_mix(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "source"), 2, 100)
+
+
+def test_sequences_follow_the_weights(spark, small, tmp_path):
+    draw = random.Random(4)
+    texts = [(i, " ".join(draw.choices(["alpha", "beta", "gamma", "delta"], k=draw.randrange(20, 900))), f"src{i // 600}") for i in range(3600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    # many files of unequal size, named in the mixed order
+    mixed = cp.mix(spark, docs, small)
+    mixed.write.option("maxRecordsPerFile", 170).parquet(f"{tmp_path}/mixed")
+    got = cp.pack(spark, spark.read.parquet(f"{tmp_path}/mixed"), small).toPandas().sort_values(["sequence_id", "offset"])
+    assert sorted(got["doc_id"]) == list(range(3600))
+    true, done, docs_seen = {"src0": 0.4, "src1": 0.2, "src2": 0.1, "src3": 0.1, "src4": 0.1, "src5": 0.1}, Counter(), 0
+    first = got[got["sequence_id"] // 2**32 == 0]  # a block of the first phase, which src0 ends after 1,500 documents
+    assert 800 <= len(first) <= 1100
+    for _, s in first.groupby("sequence_id"):
+        done.update(f"src{i // 600}" for i in s["doc_id"])
+        docs_seen += len(s)
+        assert docs_seen < 100 or all(abs(done[n] / docs_seen - w) < 0.1 for n, w in true.items())
+    assert all(abs(done[n] - w * docs_seen) <= 16 for n, w in true.items())  # at a block's end, to one block of documents
+    later = [set(g["doc_id"]) for _, g in got.groupby(got["sequence_id"] // 2**32)]
+    order = [r.doc_id for r in pfair_mix.mix(docs, cp.MIX_WEIGHTS).select("row.doc_id", "position").orderBy("position").collect()]
+    for block in later:
+        assert set(order[: len(block)]) == block
+        order = order[len(block) :]
+
+
+def test_long_documents_keep_their_place(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "IF(id % 7 = 0, repeat('one two three ', 90), concat('short ', id)) AS text", "10 * id AS at").repartition(5)
+    got = best_fit.pack(docs, cp.TOKENIZER, tokens=64, block_rows=100, order="at", keep_ids=True).toPandas()
+    want = {r.doc_id: ids_of(r.text) for r in docs.collect()}
+    for i, mine in got.sort_values("piece").groupby("doc_id"):
+        assert np.frombuffer(b"".join(mine["ids"]), "<u4").tolist() == want[i]
+    totals = got.groupby("sequence_id")["length"].sum()
+    assert totals.max() == 64 and got["length"].sum() == sum(map(len, want.values()))
+    spans = got.groupby(got["sequence_id"] // 2**32)["doc_id"].agg(["min", "max"])
+    assert len(spans) > 5 and (spans["max"].to_numpy()[:-1] <= spans["min"].to_numpy()[1:]).all()
