@@ -6,12 +6,15 @@ is the mean of its features' vectors; a linear layer and a softmax give the two
 are learned together by plain stochastic gradient descent, one document at a time, in numpy, as public
 papers on supervised subword embeddings describe.
 
-Training takes a bounded sample of the labelled rows: the first ``train_rows`` in the order of a hash of
-doc_id, and of those as many as have ``train_features`` different (document, feature) pairs in all. It runs
-in one task, which reads only that sample, and its order is fixed, so a retry learns the same model.
+Training takes a bounded sample: the first ``train_rows`` labelled rows in the order of a hash of doc_id, of their
+documents one row per (doc_id, label, text) and again the first ``train_rows`` in that order, and of those as many
+as have ``train_features`` different (document, feature) pairs in all. It runs in one task, which reads only that
+sample, and its order is fixed, so a retry learns the same model.
 
 Scoring reads every whole text. The output is linear in the mean before the softmax, so a feature counts with
-one number and a word with the sum of its features' numbers; workers keep a bounded cache of words.
+one number and a word with the sum of its features' numbers. A Python worker keeps one scorer with a bounded cache
+of words over all its tasks of one model; the n-grams of all words of a batch that it has not seen are hashed at
+once in numpy, by the same code in training and scoring.
 
 A null or empty text has no features and gets the score of the bias alone. Labels without a quality, a doc_id
 or a document are left out; without any label every score is 0.5. Repeated rows are scored, or learned from,
@@ -20,7 +23,7 @@ one by one. Only the text is ever an input.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +32,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.llm.common import texts
-from clickweave.workspace import stored
 
 _CACHE = 500_000  # words kept by a worker
 
@@ -47,46 +49,104 @@ class Settings:
     train_features: int = 20_000_000
 
 
-def word_features(word: str, s: Settings) -> list[int]:
-    marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1)]
-    return [xxhash.xxh32_intdigest(g) % s.buckets for g in grams] + [xxhash.xxh32_intdigest(word, 1) % s.buckets]
+# Odd multipliers of the code points in the hash of an n-gram.
+_TIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Every bit of the sum reaches the low ones."""
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    h = (h ^ (h >> np.uint32(12))) * np.uint32(0x297A2D39)
+    return h ^ (h >> np.uint32(15))
+
+
+def features_of(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """All features of all words at once: feature numbers, and for each the place of its word in the list."""
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    marked = "".join([f"<{word}>" for word in words])
+    points = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(lengths)
+    word_of = np.repeat(np.arange(len(words)), lengths)
+    left = ends[word_of] - np.arange(len(points))  # code points from here to the word's end
+    powers = np.cumprod(np.full(lengths.max(), _TIMES[0], np.uint32), dtype=np.uint32)
+    whole = np.add.reduceat((points + np.uint32(1)) * powers[left - 1], ends - lengths, dtype=np.uint32)
+    features, owners = [_mixed(whole).astype(np.int64) % s.buckets], [np.arange(len(words))]
+    for n in range(s.shortest, s.longest + 1):
+        at = np.flatnonzero(left >= n)
+        h = np.full(len(at), n, np.uint32)
+        for i in range(n):
+            h += (points[at + i] + np.uint32(1)) * _TIMES[i % len(_TIMES)]
+        features.append(_mixed(h).astype(np.int64) % s.buckets)
+        owners.append(word_of[at])
+    return np.concatenate(features), np.concatenate(owners)
 
 
 def repeat_feature(s: Settings) -> int:
     return xxhash.xxh32_intdigest("", 2) % s.buckets
 
 
-class _Words(dict):
-    """Numbers words as they come and calls ``learn`` with each new one."""
+def _batches(texts: Iterable[str], size: int = 1 << 20) -> Iterator[list[list[str]]]:
+    """Words of consecutive texts, about ``size`` characters at a time; a longer text is a batch of its own."""
+    held, room = [], size
+    for text in texts:
+        held.append(text.split())
+        room -= len(text)
+        if room <= 0:
+            yield held
+            held, room = [], size
+    if held:
+        yield held
 
-    def __init__(self, learn):
-        super().__init__()
-        self.learn = learn
 
-    def __missing__(self, word: str) -> int:
-        self.learn(word)
-        self[word] = number = len(self)
-        return number
+class _Vocabulary:
+    """Numbers words in the order in which they are first met and tells ``learn`` all new ones of a batch at once."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+
+    def reset(self) -> None:
+        self.numbers.clear()
 
+    def learn(self, words: list[str]) -> None:
+        raise NotImplementedError
 
-class Bags:
+    def ids(self, batch: list[list[str]]) -> Iterator[np.ndarray]:
+        """The numbers of each text's words."""
+        if len(self.numbers) > _CACHE:
+            self.reset()
+        met = set().union(*batch)
+        fresh = list(met.difference(self.numbers))
+        self.learn(fresh)
+        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
+        for words in batch:
+            yield np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+
+
+class Bags(_Vocabulary):
     """Features of documents with their shares."""
 
     def __init__(self, s: Settings):
+        super().__init__()
         self.s, self.lists = s, []
-        self.words = _Words(lambda word: self.lists.append(np.array(word_features(word, s), np.int64)))
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        words = text.split()
-        if len(self.words) > _CACHE:
-            self.words.clear()
-            self.lists.clear()
-        ids = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        same = int((ids[1:] == ids[:-1]).sum())
-        every = np.concatenate([*(self.lists[i] for i in ids), np.full(same, repeat_feature(self.s), np.int64)]) if len(ids) else ids
-        features, counts = np.unique(every, return_counts=True)
-        return features, (counts / max(1, len(every))).astype(np.float32)
+    def reset(self) -> None:
+        super().reset()
+        self.lists.clear()
+
+    def learn(self, words: list[str]) -> None:
+        features, owners = features_of(words, self.s)
+        features = features[np.argsort(owners, kind="stable")]
+        self.lists.extend(np.split(features, np.cumsum(np.bincount(owners, minlength=len(words)))[:-1]) if words else [])
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in _batches(texts):
+            for ids in self.ids(batch):
+                same = int((ids[1:] == ids[:-1]).sum())
+                every = np.concatenate([*(self.lists[i] for i in ids), np.full(same, repeat_feature(self.s), np.int64)]) if len(ids) else ids
+                features, counts = np.unique(every, return_counts=True)
+                yield features, (counts / max(1, len(every))).astype(np.float32)
 
 
 @dataclass
@@ -136,76 +196,90 @@ def trained(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], s: Set
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Learn from the rows of ``labels``; the caller has left out those that must not be learned from."""
+def sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """At most ``train_rows`` rows to learn from: place, doc_id, label, text."""
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
     )
-    order = F.xxhash64("doc_id")
-    sample = known.select("*", order.alias("place")).orderBy("place", "doc_id", "label").limit(s.train_rows)
-    # The sample has at most train_rows rows, so a copy of it may go to every task.
-    said = texts(docs, doc_id, text).join(F.broadcast(sample), "doc_id").select("place", "doc_id", "label", "text")
+    first = known.select("*", F.xxhash64("doc_id").alias("place")).orderBy("place", "doc_id", "label").limit(s.train_rows)
+    # There are at most train_rows labels, so a copy of them may go to every task.
+    said = texts(docs, doc_id, text).join(F.broadcast(first), "doc_id").select("place", "doc_id", "label", "text")
+    # However many rows share a sampled doc_id, no more than train_rows of them are learned from.
+    return said.distinct().orderBy("place", "doc_id", "label", "text").limit(s.train_rows)
+
+
+def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
+    """Learn from the rows of ``labels``; the caller has left out those that must not be learned from."""
 
     def learned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make, bags, marks, room = Bags(s), [], [], s.train_features
         for batch in batches:
-            for mark, body in zip(batch["label"], batch["text"]):
-                if room <= 0:
-                    continue
-                bags.append(make(body))
-                marks.append(int(mark))
-                room -= len(bags[-1][0])
+            for mark, bag in zip(batch["label"], make(batch["text"])):
+                if room > 0:
+                    bags.append(bag)
+                    marks.append(int(mark))
+                    room -= len(bag[0])
         if bags:
             yield pd.DataFrame([trained(bags, marks, s).packed()], columns=["vectors", "layer", "bias"])
 
-    one = said.repartition(1).sortWithinPartitions("place", "doc_id", "label", "text")
+    one = sample(docs, labels, s, doc_id, text, label).repartition(1).sortWithinPartitions("place", "doc_id", "label", "text")
     model = one.mapInPandas(learned, "vectors binary, layer binary, bias binary").toArrow().to_pylist()
     if not model:
         return trained([], [], s)
     return Model.unpacked(s, **model[0])
 
 
-class Scorer:
+class Scorer(_Vocabulary):
     """Scores whole texts with the numbers of their words."""
 
     def __init__(self, model: Model, s: Settings):
-        self.s, self.numbers = s, (model.vectors @ (model.layer[1] - model.layer[0])).astype(np.float64)
+        super().__init__()
+        self.s, self.values = s, (model.vectors @ (model.layer[1] - model.layer[0])).astype(np.float64)
         self.bias = float(model.bias[1] - model.bias[0])
-        self.repeat = self.numbers[repeat_feature(s)]
-        self._reset()
-
-    def _reset(self) -> None:
-        self.words, self.sums, self.counts = _Words(self._learn), np.empty(1024), np.empty(1024)
-
-    def _learn(self, word: str) -> None:
-        at = len(self.words)
-        if at == len(self.sums):
-            self.sums, self.counts = np.resize(self.sums, 2 * at), np.resize(self.counts, 2 * at)
-        features = word_features(word, self.s)
-        self.sums[at], self.counts[at] = self.numbers[features].sum(), len(features)
-
-    def __call__(self, text: str) -> float:
-        words = text.split()
-        if len(self.words) > _CACHE:
-            self._reset()
-        ids = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        same = int((ids[1:] == ids[:-1]).sum())
-        count = self.counts[ids].sum() + same
-        raw = self.bias + ((self.sums[ids].sum() + same * self.repeat) / count if count else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(raw, -60, 60))))
+        self.repeat = self.values[repeat_feature(s)]
+        self.sums = self.counts = np.empty(0)
+
+    def reset(self) -> None:
+        super().reset()
+        self.sums = self.counts = np.empty(0)
+
+    def learn(self, words: list[str]) -> None:
+        features, owners = features_of(words, self.s)
+        self.sums = np.concatenate([self.sums, np.bincount(owners, self.values[features], len(words))])
+        self.counts = np.concatenate([self.counts, np.bincount(owners, minlength=len(words))])
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[float]:
+        for batch in _batches(texts):
+            for ids in self.ids(batch):
+                same = int((ids[1:] == ids[:-1]).sum())
+                count = self.counts[ids].sum() + same
+                raw = self.bias + ((self.sums[ids].sum() + same * self.repeat) / count if count else 0.0)
+                yield float(1 / (1 + np.exp(-np.clip(raw, -60, 60))))
+
+
+_kept_scorer: list[tuple[str, Scorer]] = []
+
+
+def _scorer(name: str, shared, s: Settings) -> Scorer:
+    """The scorer of this Python worker; one model's at a time."""
+    if not _kept_scorer or _kept_scorer[0][0] != name:
+        _kept_scorer[:] = [(name, Scorer(Model.unpacked(s, *shared.value), s))]
+    return _kept_scorer[0][1]
 
 
 def scored(df: DataFrame, model: Model, s: Settings = Settings(), text: str = "text", score: str = "score") -> DataFrame:
     """``df`` with one more column, the probability of label 1; the model's size is bounded by the settings."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(model.packed())
+    packed = model.packed()
+    name = f"{s} {xxhash.xxh3_128_hexdigest(b''.join(packed))}"
+    shared = spark.sparkContext.broadcast(packed)
     names = df.columns
     kept = df.select(F.struct(*names).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text")) if names != ["doc_id", "text"] else df
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(Model.unpacked(s, *shared.value), s)
+        scorer = _scorer(name, shared, s)
         for batch in batches:
-            yield batch.map(scorer).astype(float)
+            yield pd.Series(list(scorer(batch)), index=batch.index, dtype=float)
 
     scores.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     score_of = F.pandas_udf(scores, "double")
