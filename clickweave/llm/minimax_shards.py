@@ -1,14 +1,16 @@
 """Sharding by bytes: the contiguous partition whose largest shard is as small as it can be.
 
 Documents with equal texts form one atomic group. Groups lie in the order of their digests; the smallest
-capacity for which a greedy fill needs no more than the wanted shards is found by binary search, and the
-groups are cut where that fill cuts them.
+capacity for which a greedy fill needs no more than the wanted shards is found by binary search. That capacity
+stays the limit of every shard; within it each cut is as near as it can be to an equal share of the bytes that
+are left, where a backward greedy fill shows that the rest fits the shards that are left. So one hot group
+does not leave other shards empty.
 
 Rows are sorted by (digest, doc_id) into range partitions, so a group of any size lies over several of them;
 running sums inside a partition and a table with one line per partition give every row its place. The
 greedy check needs the bytes before a group only near its cuts: the driver holds a bounded number of
-(group, bytes before) points, walks with the lower and the upper bound that they give, and where the two
-differ fetches finer points between them. So it never holds more than a few times ``points`` numbers.
+(group, bytes before) points, walks over them, and where a walk meets a gap fetches finer points inside it, at least one new one each time. So it
+fetches ``points`` numbers at a time (at least four a shard), and as many times as the searches' logarithms.
 
 A null text has no bytes and lies in the group of the empty text. A size is the UTF-8 bytes plus one. Equal
 rows and rows without a doc_id are rows like others. An empty table gives an empty result; shards without
@@ -18,12 +20,12 @@ groups stay empty.
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.llm.common import in_order
 from clickweave.workspace import stored
@@ -80,66 +82,136 @@ def placed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
 
 
-class _Points:
-    """What the driver knows: bytes and rows before some of the groups."""
+class Points:
+    """What the driver knows of the groups' borders: bytes and rows before some of the groups.
 
-    def __init__(self, rows: DataFrame, groups: int, total: int, count: int, points: int):
-        # In the order of the groups, so a fetch skips the row groups outside its ranges.
-        self.starts = stored(rows.where("starts").select("grp", "bytes", "row"), "group-starts")
-        self.points = points
+    ``fetch(wanted)`` returns (group, bytes before, rows before) of the groups asked for. Each call of ``add`` asks
+    for at least one border nobody has fetched, and for about ``points`` at most, so every search ends.
+    """
+
+    def __init__(self, fetch: Callable[[list[int]], list[tuple[int, int, int]]], groups: int, total: int, count: int, points: int):
+        self.fetch, self.points, self.turns = fetch, points, 0
         self.known = {0: (0, 0), groups: (total, count)}
-        self.add([(0, groups)])
+        self._sort()
+        if groups > 1:
+            self.add([(0, groups)])
 
-    def add(self, ranges: list[tuple[int, int]]) -> None:
-        """Fetch about ``points`` more of them inside the ranges, evenly."""
-        stride = max(1, sum(b - a for a, b in ranges) // self.points)
-        inside = F.lit(False)
-        for a, b in ranges:
-            inside = inside | F.col("grp").between(a, b)
-        for line in self.starts.where(inside & (F.col("grp") % stride == 0)).toArrow().to_pylist():
-            self.known[line["grp"]] = (line["bytes"], line["row"])
+    def _sort(self) -> None:
         self.groups = sorted(self.known)
         self.bytes = [self.known[g][0] for g in self.groups]
 
+    def add(self, ranges: list[tuple[int, int]]) -> None:
+        """Fetch borders inside the ranges: each gap between known ones is cut evenly, wide gaps more often."""
+        gaps = set()
+        for a, b in ranges:
+            low, high = bisect.bisect_right(self.groups, a) - 1, bisect.bisect_left(self.groups, b)
+            gaps.update((c, d) for c, d in zip(self.groups[low:high], self.groups[low + 1 : high + 1]) if d - c > 1)
+        # Where a range holds more gaps than may be fetched from, the widest come first.
+        chosen = sorted(gaps, key=lambda g: (g[0] - g[1], g))[: self.points]
+        width, wanted = sum(d - c for c, d in chosen), []
+        for c, d in chosen:
+            parts = 1 + max(1, self.points * (d - c) // width)
+            wanted += sorted({c + (d - c) * i // parts for i in range(1, parts)} - {c})
+        assert wanted, "no gap left to look into"
+        self._ask(wanted)
+
+    def _ask(self, wanted: list[int]) -> None:
+        for group, size, row in self.fetch(wanted):
+            self.known[group] = (size, row)
+        self.turns += 1
+        self._sort()
+
     def bracket(self, limit: int) -> tuple[int, int]:
-        """The last known group with at most ``limit`` bytes before it, and the next known one."""
+        """The last known border with at most ``limit`` bytes before it, and the next known one."""
         at = bisect.bisect_right(self.bytes, limit) - 1
         return self.groups[at], self.groups[min(at + 1, len(self.groups) - 1)]
 
-    def walk(self, capacity: int, shards: int) -> tuple[bool | None, list[int], list[tuple[int, int]]]:
-        """Whether ``shards`` greedy shards reach the end (None: not known), the cuts, and what to look at closer."""
-        total, low, high, cuts, unknown = self.bytes[-1], 0, 0, [], []
-        for _ in range(shards):
-            a, b = self.bracket(low + capacity)
-            c, d = self.bracket(high + capacity)
-            if max(b, d) - a > 1 and not (a == c and d - c <= 1):
-                unknown.append((a, max(b, d)))
-            cuts.append(a)
-            low = self.known[a][0]
-            high = self.known[c][0] if d - c <= 1 else high + capacity
-        if low >= total:
-            return True, cuts, unknown
-        return (None if high >= total else False), cuts, unknown
-
-
-def smallest_capacity(points: _Points, shards: int, least: int, most: int) -> tuple[int, list[int]]:
-    """Binary search between a lower bound and a capacity that is enough; the cuts of its greedy fill."""
-
-    def reaches(capacity: int) -> bool:
+    def settle(self, walk: Callable[[], tuple[object, list[tuple[int, int]]]]):
+        """Repeat a walk over the known borders, with finer ones each time, until it meets no gap."""
         while True:
-            found, _, unknown = points.walk(capacity, shards)
-            if found is not None:
+            found, gaps = walk()
+            if not gaps:
                 return found
-            points.add(unknown)
-
+            self.add(gaps)
+
+    def reaches(self, capacity: int, shards: int) -> bool:
+        """Whether a greedy fill of ``shards`` shards reaches the end."""
+
+        def walk():
+            # The true end of each shard lies between ``low`` and ``high``.
+            low, high, gaps = 0, 0, []
+            for _ in range(shards):
+                a, b = self.bracket(low + capacity)
+                c, d = self.bracket(high + capacity)
+                gaps += [g for g in ((a, b), (c, d)) if g[1] - g[0] > 1]
+                low, high = self.known[a][0], self.known[c][0] if d - c <= 1 else high + capacity
+            if low >= self.bytes[-1] or high < self.bytes[-1]:
+                return low >= self.bytes[-1], []
+            return False, gaps
+
+        return self.settle(walk)
+
+    def cuts(self, capacity: int, shards: int) -> list[int]:
+        """First groups of shards 1, 2, ...: each cut as near as it can be to an equal share of what is left, where
+        the shard keeps within ``capacity`` and the rest fits the shards that are left."""
+        groups, total = self.groups[-1], self.bytes[-1]
+        if last := [g for g in range(max(1, groups - shards + 1), groups) if g not in self.known]:
+            self._ask(last)
+
+        def back():
+            # latest[j]: the first border from which j shards are enough
+            latest, gaps = [groups], []
+            for _ in range(shards - 1):
+                start = self.known[latest[-1]][0] - capacity
+                a, b = self.bracket(start - 1) if start > 0 else (0, 0)
+                gaps += [(a, b)] * (b - a > 1)
+                latest.append(b)
+            return latest, gaps
+
+        latest = self.settle(back)
+
+        def forth():
+            at, cut, gaps = 0, [], []
+            for left in range(shards - 1, 0, -1):
+                here = self.known[at][0]
+                want = here + (total - here) // (left + 1)
+                a, b = self.bracket(want)
+                c, d = self.bracket(here + capacity)
+                e, f = self.bracket(here)
+                gaps += [g for g in ((a, b), (c, d), (e, f)) if g[1] - g[0] > 1]
+                near = b if self.known[b][0] - want < want - self.known[a][0] else a
+                # at least one group a shard, as long as there are enough of them
+                near = min(max(near, latest[left], f), c)
+                at = min(near, groups - left) if groups - left > at else near
+                cut.append(at)
+            return cut, gaps
+
+        return self.settle(forth)
+
+
+def smallest_capacity(points: Points, shards: int, least: int, most: int) -> int:
+    """Binary search between a lower bound and a capacity that is enough."""
     while least < most:
         middle = (least + most) // 2
-        least, most = (least, middle) if reaches(middle) else (middle + 1, most)
-    while True:
-        _, cuts, unknown = points.walk(most, shards)
-        if not unknown:
-            return most, cuts
-        points.add(unknown)
+        least, most = (least, middle) if points.reaches(middle, shards) else (middle + 1, most)
+    return most
+
+
+def _from_table(starts: DataFrame) -> Callable[[list[int]], list[tuple[int, int, int]]]:
+    """Fetches borders from a table (grp, bytes, row) sorted by grp: Parquet skips what lies outside the ranges."""
+
+    def fetch(wanted: list[int]) -> list[tuple[int, int, int]]:
+        wanted = sorted(wanted)
+        step = -(-len(wanted) // 32)
+        inside = F.lit(False)
+        for i in range(0, len(wanted), step):
+            inside = inside | F.col("grp").between(wanted[i], wanted[min(i + step, len(wanted)) - 1])
+        # At most about ``points`` numbers, so a copy may go to every task.
+        asked = starts.sparkSession.createDataFrame(pd.DataFrame({"grp": np.array(wanted, np.int64)}))
+        found = starts.where(inside).join(F.broadcast(asked), "grp").select("grp", "bytes", "row").toArrow()
+        return list(zip(*(c.to_pylist() for c in found.columns)))
+
+    return fetch
 
 
 def shard_by_bytes(
@@ -153,9 +225,18 @@ def shard_by_bytes(
     shard, first = F.lit(0), F.lit(0).cast("long")
     if groups:
         mean = -(-total // shards)
-        known = _Points(rows, groups, total, count, points)
-        _, cuts = smallest_capacity(known, shards, max(mean, largest), mean + largest)
-        for cut in cuts[:-1]:
-            shard = shard + (F.col("grp") >= cut).cast("int")
-            first = F.when(F.col("grp") >= cut, F.lit(known.known[cut][1])).otherwise(first)
+        # In the order of the groups, so a fetch skips the row groups outside its ranges.
+        starts = stored(rows.where("starts").select("grp", "bytes", "row"), "group-starts")
+        known = Points(_from_table(starts), groups, total, count, max(points, 4 * shards))
+        capacity = smallest_capacity(known, shards, max(mean, largest), mean + largest)
+        cuts = known.cuts(capacity, shards)
+        borders = [(known.known[cut][1], number + 1) for number, cut in enumerate(cuts)]
+        shard, first = _located(F.col("row"), borders)
     return rows.select("doc_id", "size", "text_crc32", shard.cast("int").alias("shard"), (F.col("row") - first).alias("slot"))
+
+
+def _located(row: Column, borders: list[tuple[int, int]]) -> tuple[Column, Column]:
+    """The shard that holds a row, and the first row of that shard, from (first row, shard) in order."""
+    starts = F.array(*[F.lit(x).cast("long") for x in [0, *[start for start, _ in borders]]])
+    shard = F.size(F.filter(starts, lambda x: x <= row)) - 1
+    return shard, F.element_at(starts, shard + 1)
