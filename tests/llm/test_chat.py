@@ -1,8 +1,11 @@
+import duckdb
 from hypothesis import given, settings, strategies as st
 
 from clickweave.llm import chat_format as c
+from clickweave.llm.queries import BUILDERS, SQL
 from conftest import plan
 from llm_help import rows
+from tools.check import rows_of
 
 COLUMNS = "conv long, seq long, turn long, kind string, role string, text string"
 
@@ -55,3 +58,17 @@ def test_extra_columns_and_a_native_plan(spark):
     df = c.read_back(c.render_chats(log))
     assert rows(df, "learned") == [("",)]
     assert not any(word in plan(df) for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_the_query_counts_rows_that_share_a_turn(spark, tmp_path):
+    rows = [
+        (1, 0, "user", "a"), (1, 0, "assistant", "b"), (1, 1, "assistant", "c"), (1, 1, "assistant", "c"), (2, None, "user", "d"),
+        (2, None, "assistant", None), (2, 3, None, "e"), (None, 0, "user", "f"), (None, None, None, None), (3, 1, "assistant", "é<|"), (3, 1, "assistant", "e"),
+    ]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    got = BUILDERS["op8_chat_format"](spark, str(tmp_path))
+    assert rows_of(got.toArrow()) == rows_of(con.sql(SQL["op8_chat_format"]).to_arrow_table())
+    assert {r.conv_id: (r.n_turns, r.loss_chars) for r in got.collect()} == {1: (4, 3), 2: (3, 0), None: (2, 0), 3: (2, 4), -1: (2, 34)}
+    assert not any(word in plan(got) for word in ("Python", "Pandas", "Arrow"))

@@ -113,3 +113,16 @@ def test_long_documents_keep_their_place(spark):
     assert totals.max() == 64 and got["length"].sum() == sum(map(len, want.values()))
     spans = got.groupby(got["sequence_id"] // 2**32)["doc_id"].agg(["min", "max"])
     assert len(spans) > 5 and (spans["max"].to_numpy()[:-1] <= spans["min"].to_numpy()[1:]).all()
+
+
+def test_near_dedup_tells_rows_of_one_doc_id_apart(spark, small, tmp_path):
+    one = " ".join(f"a{i}" for i in range(60))
+    two = " ".join(f"b{i}" for i in range(60))
+    rows = [
+        (7, one, "x"), (7, two, "x"), (5, one + " more", "x"), (None, two + " end", "x"), (9, "quite another text of few words", "x"),
+        (9, "and one more that is nothing like it", "x"), (None, "rows without a name stay too", "x"), (None, None, None), (9, "", "x"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    got = cp.near_dedup(spark, spark.read.parquet(f"{tmp_path}/docs"), small).collect()
+    gone = {(7, one, "x"), (None, two + " end", "x")}
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr(r) for r in rows if r not in gone)
