@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, chat_format, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
+from clickweave.llm import best_fit, chat_format, chat_repair, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -173,3 +173,10 @@ def op1_va_file(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_divide_skip")
 def op5_divide_skip(spark: SparkSession, folder: str) -> DataFrame:
     return divide_skip.jaccard_components(table(spark, folder, "documents"), percent=80, words=5)
+
+
+@query("op13_chat_repair")
+def op13_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat_repair.damaged(table(spark, folder, "conversations"))
+    found = chat_repair.repair(rows, left=F.col("left"))
+    return found.select("*", F.sha2("repaired", 256).alias("repaired_sha256")).drop("repaired")

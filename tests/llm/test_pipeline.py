@@ -22,7 +22,7 @@ LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
 
 def test_registered():
     assert set(BUILDERS) | {"pipeline"} <= set(app.queries()) and set(SQL) <= set(app.oracle_sql())
-    assert sorted(int(k[2:].split("_")[0]) for k in BUILDERS) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in BUILDERS) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(SQL))
