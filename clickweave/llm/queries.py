@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, chat_format, chat_repair, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
+from clickweave.llm import best_fit, bpe_transducer, chat_format, chat_repair, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -180,3 +180,17 @@ def op13_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = chat_repair.damaged(table(spark, folder, "conversations"))
     found = chat_repair.repair(rows, left=F.col("left"))
     return found.select("*", F.sha2("repaired", 256).alias("repaired_sha256")).drop("repaired")
+
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query("op11_bpe_transducer")
+def op11_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe_transducer.encode(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bpe_transducer.decode(encoded, RANKS).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
