@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweave.llm import best_fit, bpe_transducer, chat_format, chat_repair, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, substring_dedup, url_filter, va_search
+from clickweave.llm import best_fit, bpe_transducer, chat_format, chat_repair, divide_skip, minimax_shards, mph_dedup, pfair_mix, quality, spelling, substring_dedup, url_filter, va_search
 from clickweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -194,3 +194,8 @@ def op11_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
