@@ -34,13 +34,12 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-_STATES = 200_000  # subset states kept by a worker, some 700 bytes each
-_PIECES, _PARTS = 400_000, 1_000_000  # pieces and parts of text kept by a worker, some 200 bytes each
-_STEPS = 400_000  # (state, token) pairs kept by a decoder
+_STATES = 150_000  # subset states kept by a worker, some 800 bytes each
+_PAIRS = 200_000  # pairs of tokens kept with what becomes of them
+_PIECES = 300_000  # pieces of text of one generation kept by a worker, some 200 bytes each
+_STEPS = 200_000  # (state, token) pairs kept by a decoder
+_ROWS = 500  # texts of one output batch
 LOOKAHEAD = 4096
-_UNCLEAR = regex.compile(r" (?:\s|$)")
-# Fixed value: the pattern of the given rank files, in which a blank only ever begins a match or lies in white space.
-_BLANK_FIRST = {r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""}
 
 
 class Merges:
@@ -52,8 +51,8 @@ class Merges:
         # every start of a token that a further byte can still grow into one
         self.open = {token[:i] for token in ranks for i in range(1, len(token))}
         self.halves: dict[bytes, tuple[bytes, bytes]] = {}
-        self.left: dict[bytes, list[tuple[bytes, float]]] = {}
-        self.right: dict[bytes, list[tuple[bytes, float]]] = {}
+        self.left: dict[bytes, tuple[list[bytes], list[float]]] = {}
+        self.right: dict[bytes, tuple[list[bytes], list[float]]] = {}
         self.known: dict[tuple[bytes, bytes], bool] = {}
 
     def plain(self, piece: bytes, below: float = float("inf")) -> list[bytes]:
@@ -75,18 +74,16 @@ class Merges:
             self.halves[token] = parts[0], parts[1]
         return self.halves[token]
 
-    def edge(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
-        """What stands at one end (0 left, 1 right) of a token while it is being merged: (part, rank at which it goes)."""
+    def edge(self, token: bytes, side: int) -> tuple[list[bytes], list[float]]:
+        """What stands at one end (0 left, 1 right) of a token while it is being merged, and the rank at which each
+        part goes into the next."""
         kept = self.right if side else self.left
         if token not in kept:
-            out, end = [], float("inf")
-            while True:
-                out.append((token, end))
-                if len(token) == 1:
-                    break
-                end, token = self.ranks[token], self.split(token)[side]
-            kept[out[0][0]] = out
-            return out
+            parts, goes = [token], [float("inf")]
+            while len(parts[-1]) > 1:
+                goes.append(self.ranks[parts[-1]])
+                parts.append(self.split(parts[-1])[side])
+            kept[token] = parts[::-1], goes[::-1]
         return kept[token]
 
     def apart(self, a: bytes, b: bytes) -> bool:
@@ -98,18 +95,22 @@ class Merges:
         return known
 
     def _apart(self, a: bytes, b: bytes) -> bool:
-        # Two parts meet if both are there at one time; a merge of theirs then comes before the next merge of either.
-        # Of merges of equal rank the left one is first.
-        for x, x_goes in self.edge(a, 1):
-            for y, y_goes in self.edge(b, 0):
-                rank = self.ranks.get(x + y)
-                if rank is None or rank >= x_goes or rank > y_goes:
-                    continue
-                x_comes = self.ranks[x] if len(x) > 1 else -1
-                y_comes = self.ranks[y] if len(y) > 1 else -1
-                if x_comes < y_goes and y_comes < x_goes:
-                    return False
-        return True
+        # Parts that stand at the border at one time merge over it if that merge comes before the next merge of either;
+        # of merges of equal rank the left one is first. So follow both ends through time.
+        rank_of = self.ranks.get
+        left, left_goes = self.right.get(a) or self.edge(a, 1)
+        right, right_goes = self.left.get(b) or self.edge(b, 0)
+        i = j = 0
+        while True:
+            rank, x_goes, y_goes = rank_of(left[i] + right[j]), left_goes[i], right_goes[j]
+            if rank is not None and rank < x_goes and rank <= y_goes:
+                return False
+            if x_goes <= y_goes:
+                if i + 1 == len(left):
+                    return True
+                i += 1
+            else:
+                j += 1
 
 
 class _State(dict):
@@ -197,6 +198,8 @@ class Transducer:
     def __call__(self, piece: bytes) -> list[int]:
         if len(self.states) > self.most:
             self._reset()
+        if len(self.merges.known) > _PAIRS:
+            self.merges.known.clear()
         if len(piece) > LOOKAHEAD:
             return list(self.stream((piece,)))
         state = self.start
@@ -208,44 +211,34 @@ class Transducer:
 
 
 class _Kept(dict):
-    """Ids of strings, made on first use."""
+    """Ids of strings, made on first use. Two generations: when the young one is full it becomes the old one, so what
+    comes often stays, and what comes once goes."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make = make
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, said: str) -> bytes:
-        self[said] = ids = self.make(said)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(said)
+        self[said] = ids = self.make(said) if ids is None else ids
         return ids
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian 32-bit numbers, with a bounded memory of pieces and of parts.
-
-    A part goes from a blank before a visible character to the next such blank. With patterns that take at most one
-    blank into a match, and it as its first character, matches never cross such a border, so a text is the sum of
-    its parts; texts with a blank before white space, or at the end, are split by the pattern as a whole.
-    """
+    """Ids of whole texts, as little-endian 32-bit numbers, with a bounded memory of pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.find = Transducer(ranks), regex.compile(pattern).findall
-        self.pieces, self.parts = _Kept(self._piece), _Kept(self._whole)
-        self.by_parts = pattern in _BLANK_FIRST
+        self.pieces = _Kept(self._piece, _PIECES)
 
     def _piece(self, piece: str) -> bytes:
         return array("i", self.transducer(piece.encode("utf-8", "surrogatepass"))).tobytes()
 
-    def _whole(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.find(text)))
-
     def __call__(self, text: str) -> bytes:
-        for kept, most in ((self.pieces, _PIECES), (self.parts, _PARTS)):
-            if len(kept) > most:
-                kept.clear()
-        if not self.by_parts or "\0" in text or _UNCLEAR.search(text):
-            return self._whole(text)
-        parts = text.replace(" ", "\0 ").split("\0")
-        return b"".join(map(self.parts.__getitem__, parts))
+        return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
 
 class Utf8:
@@ -333,9 +326,11 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = _encoder(path, pattern)
         for batch in batches:
-            ids = [np.frombuffer(make(t), "<i4") for t in batch["text"]]
-            gc.freeze()  # what is kept is not garbage; without this every collection walks all states
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": pd.Series(ids, batch.index, object)})
+            for start in range(0, len(batch), _ROWS):
+                some = batch.iloc[start : start + _ROWS]
+                ids = [np.frombuffer(make(t), "<i4") for t in some["text"]]
+                gc.freeze()  # what is kept is not garbage; without this every collection walks all states
+                yield pd.DataFrame({"doc_id": some["doc_id"].astype("Int64"), "ids": pd.Series(ids, some.index, object)})
 
     return said.mapInPandas(encoded, "doc_id long, ids array<int>")
 
