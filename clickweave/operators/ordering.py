@@ -129,3 +129,16 @@ def top_values(df: DataFrame, key: str, value: str, n: int, tie: Sequence[str],
     return best.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_rank", value))), lambda p: p[value]).alias(name)
     )
+
+
+def top_after_changes(old: DataFrame, changed: DataFrame, groups: Sequence[str], item: str, count: str, n: int) -> DataFrame:
+    """The top ``n`` of every group that changed, where counts only grow.
+
+    ``old`` has the top ``n`` before (groups, item, count and more), ``changed`` the new counts of the items that have
+    grown. An item outside both stands behind ``n`` others as before, so ranking them alone is enough: at most ``n`` rows
+    a group plus the changes. Ties go to the smaller item.
+    """
+    names = [*groups, item, count]
+    touched = changed.select(*groups).distinct()
+    still = old.select(*names).join(touched, list(groups), "left_semi").join(changed.select(*groups, item), [*groups, item], "left_anti")
+    return top_per_group(still.unionByName(changed.select(*names)), groups, [F.desc(count), F.asc(item)], n)

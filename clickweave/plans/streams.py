@@ -187,7 +187,7 @@ def st_ad_stat(spark, folder):
     (SELECT date, province, ad_id, count(*) AS clicks FROM dated GROUP BY ALL)) WHERE rank <= 3""",
 )
 def st_province_top3(spark, folder):
-    return spark.read.schema(ads.TOP_SCHEMA).parquet(_ad_tables(spark, folder).province_top)
+    return _ad_tables(spark, folder).province_top.latest()
 
 
 def _clicks_log(spark, label):
@@ -221,6 +221,20 @@ def st_click_hour_total(spark, folder):
     return ads.hour_totals(log.latest())
 
 
+# A table's end closes the windows that end ten minutes before its last click.
+@query(
+    "st_click_sliding",
+    views.sql("ad_clicks") + """, panes AS (SELECT make_timestamp((epoch_us(ts) // 10000000) * 10000000) AS p, ad_id, count(*) AS n FROM ad_clicks GROUP BY ALL),
+    sums AS (SELECT p + to_seconds(10 * i) AS window_end, ad_id, CAST(sum(n) AS BIGINT) AS clicks
+        FROM panes, (SELECT unnest(range(1, 361)) AS i) GROUP BY ALL)
+    SELECT * FROM sums WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM ad_clicks)""",
+)
+def st_click_sliding(spark, folder):
+    log = _log(spark, "sliding", ads.SLIDING_SCHEMA, ["window_end", "ad_id"], "rows", "window_end")
+    ads.sliding_totals(_click_stream(spark, folder), log, fresh_dir(spark, "checkpoint"))
+    return log.rows().drop("batch_id")
+
+
 @query("st_restart_exactly_once", "SELECT event_type AS word, count(*) AS n FROM events GROUP BY 1")
 def st_restart_exactly_once(spark, folder):
     log = _log(spark, "restarts", "word string, n long", ["word"])

@@ -6,13 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from clickweave.operators.joins import without_partner
-from clickweave.operators.ordering import top_per_group
-from clickweave.sinks.writers import BatchLog, replace_partitions
+from clickweave.operators.joins import with_partner, without_partner
+from clickweave.operators.ordering import top_after_changes
+from clickweave.sinks.writers import BatchLog
 from clickweave.streaming.feeds import each_batch
 from clickweave.streaming.words import windowed_counts
 
 TOP_SCHEMA = "date string, province string, ad_id int, clicks long, rank int"
+SLIDING_SCHEMA = "window_end timestamp_ntz, ad_id int, clicks long"
 
 
 @dataclass
@@ -23,7 +24,7 @@ class AdTables:
     user_counts: BatchLog
     blacklist: BatchLog
     ad_stat: BatchLog
-    province_top: str
+    province_top: BatchLog
 
     @classmethod
     def under(cls, spark: SparkSession, path: str) -> "AdTables":
@@ -38,7 +39,7 @@ class AdTables:
                 spark, f"{path}/ad_stat", "date string, province string, city string, ad_id int, clicks long",
                 ["date", "province", "city", "ad_id"], day="date",
             ),
-            f"{path}/province_top",
+            BatchLog(spark, f"{path}/province_top", TOP_SCHEMA, ["date", "province", "rank"], "latest", day="date"),
         )
 
 
@@ -48,7 +49,7 @@ def handle_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: i
     Users listed by earlier batches are dropped; a user who crosses the threshold in this batch is
     dropped from the next one on. Every output is keyed by the batch id or by the partitions it
     replaces, so a batch that is tried again leaves the same tables. Only the days of this batch are read back,
-    from a bounded number of folders.
+    from a bounded number of folders, and only ads that the batch has are ranked beside the top lists so far.
     """
     dated = batch.withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
     listed = tables.blacklist.before(batch_id).select("user_id").distinct()
@@ -64,10 +65,12 @@ def handle_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: i
     tables.blacklist.write(over.join(listed, "user_id", "left_anti"), batch_id)
 
     tables.ad_stat.write(kept.groupBy("date", "province", "city", "ad_id").agg(F.count("*").alias("clicks")), batch_id)
-    per_province = tables.ad_stat.rows((low, high)).groupBy("date", "province", "ad_id").agg(F.sum("clicks").alias("clicks"))
-    best = top_per_group(per_province, ["date", "province"], [F.desc("clicks"), F.asc("ad_id")], n)
-    # The ranking covers every province of its dates, so whole dates are replaced.
-    replace_partitions(best, tables.province_top, ["date"])
+    # Only ads that were clicked in this batch are counted again; the top lists hold all others that matter.
+    grown = kept.select("date", "province", "ad_id").distinct()
+    counted = with_partner(tables.ad_stat.rows((low, high)), grown, ["date", "province", "ad_id"])
+    changed = counted.groupBy("date", "province", "ad_id").agg(F.sum("clicks").alias("clicks"))
+    old = tables.province_top.latest((low, high), below=batch_id)
+    tables.province_top.write(top_after_changes(old, changed, ["date", "province"], "ad_id", "clicks", n), batch_id)
 
 
 def ad_job(stream: DataFrame, tables: AdTables, threshold: int, checkpoint: str) -> None:
@@ -85,6 +88,21 @@ def clicks_per(stream: DataFrame, log: BatchLog, checkpoint: str, size: str, lat
     each_batch(counts, log.write, checkpoint, "update")
 
 
+def sliding_totals(stream: DataFrame, log: BatchLog, checkpoint: str, size: str = "1 hour", slide: str = "10 seconds", late: str = "10 minutes") -> None:
+    """Clicks per ad in the window of ``size`` that slides by ``slide``, out of the stream itself.
+
+    Two windows in a chain with one watermark: clicks are counted in panes of ``slide``, and the closed panes, by their
+    time, in the long windows that hold them; so a pane, not a click, is copied to its windows. A line is logged once,
+    when its window closes; clicks later than ``late`` are dropped. Both windows leave the state when they close, so the
+    state holds the panes of ``late`` and the windows of ``size`` + ``late``, whatever has gone before.
+    """
+    timed = stream.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", late)
+    panes = timed.groupBy(F.window("_ts", slide).alias("pane"), "ad_id").agg(F.count("*").alias("n"))
+    sums = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), "ad_id").agg(F.sum("n").alias("clicks"))
+    ended = sums.select(F.col("w.end").cast("timestamp_ntz").alias("window_end"), "ad_id", "clicks")
+    each_batch(ended, log.write, checkpoint, "append")
+
+
 def hour_totals(counts: DataFrame, slide: int = 10, size: int = 3600) -> DataFrame:
     """Clicks per ad in the window of ``size`` seconds that slides by ``slide``: (window_end, ad_id, clicks).
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.operators.joins import without_partner
-from clickweave.operators.ordering import top_per_group
+from clickweave.operators.ordering import top_after_changes
 from clickweave.operators.text import word_counts
 from clickweave.sinks.writers import BatchLog
 from clickweave.streaming.feeds import each_batch, run_available
@@ -39,9 +39,9 @@ def windowed_top(
 ) -> None:
     """The ``n`` most frequent items per window and group.
 
-    A batch brings only the counts it changed, so the windows it touched are ranked from the log, of which only
-    their days are read.
-    Ranks of a touched window replace the earlier ones; a window never loses items, so none go stale.
+    A batch brings only the counts it changed. Counts only grow, so the new top of a window and group is found among
+    its old top and those changes; nothing else is ranked, and of the log of top lists only the days of the changes
+    are read. Ranks of a touched window replace the earlier ones; a window never loses items, so none go stale.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -51,10 +51,8 @@ def windowed_top(
         low, high = changed.agg(F.min(day), F.max(day)).first()
         if low is None:
             return
-        touched = changed.select("window_start").distinct()
-        known = log.latest((low, high)).join(touched, "window_start", "left_semi")
-        ranked = top_per_group(known, ["window_start", *groups], [F.desc("n"), F.asc(item)], n)
-        top.write(ranked, batch_id)
+        old = top.latest((low, high), below=batch_id)
+        top.write(top_after_changes(old, changed, ["window_start", *groups], item, "n", n), batch_id)
 
     each_batch(counts, handle, checkpoint, "update")
 

@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from clickweave.operators.ordering import top_after_changes
 from clickweave.sinks.writers import BatchLog
 from clickweave.streaming import ads, feeds, words
 from clickweave.workspace import fresh_dir
@@ -100,7 +102,7 @@ def test_a_batch_tried_again_leaves_the_same_tables(spark, tables):
     ads.handle_batch(tables, second, 1, 5)
     outputs = lambda: [
         rows(tables.blacklist.rows()), rows(tables.user_counts.totals()), rows(tables.ad_stat.totals()),
-        rows(spark.read.schema(ads.TOP_SCHEMA).parquet(tables.province_top), "rank", "date", "province", "ad_id", "clicks"),
+        rows(tables.province_top.latest(), "rank", "date", "province", "ad_id", "clicks"),
     ]
     before = outputs()
     ads.handle_batch(tables, second, 1, 5)
@@ -108,6 +110,51 @@ def test_a_batch_tried_again_leaves_the_same_tables(spark, tables):
     assert [r[0] for r in before[3]] == [1, 2, 3]
 
 
+def test_top_of_growing_counts_is_the_full_ranking(spark):
+    draw, n = random.Random(5), 3
+    totals, old = {}, spark.createDataFrame([], "g string, item long, n long, rank int")
+    for batch in range(50):
+        changed = {}
+        for _ in range(draw.randrange(1, 12)):
+            key = (draw.choice("abcd"), draw.randrange(12))
+            totals[key] = changed[key] = totals.get(key, 0) + draw.randrange(1, 4)
+        now = spark.createDataFrame([(*k, c) for k, c in changed.items()], "g string, item long, n long").coalesce(1)
+        ranked = top_after_changes(old, now, ["g"], "item", "n", n)
+        got = [tuple(r) for r in ranked.select("g", "item", "n", "rank").collect()]
+        want = []
+        for g in {k[0] for k in changed}:
+            best = sorted((-c, i) for (x, i), c in totals.items() if x == g)[:n]
+            want += [(g, i, -c, place + 1) for place, (c, i) in enumerate(best)]
+        assert sorted(got) == sorted(want)
+        held = {(r.g, r["rank"]): tuple(r) for r in old.collect()} | {(r[0], r[3]): r for r in got}
+        old = spark.createDataFrame(list(held.values()), "g string, item long, n long, rank int").coalesce(1)
+
+
+def test_sliding_totals_come_out_of_the_stream_as_windows_close(spark):
+    path, checkpoint = fresh_dir(spark, "in"), fresh_dir(spark, "cp")
+    schema = "ts timestamp_ntz, ad_id int"
+    at, second = dt.datetime(2024, 1, 1, 10), lambda n: dt.timedelta(seconds=n)
+    log = BatchLog(spark, fresh_dir(spark, "log"), ads.SLIDING_SCHEMA, ["window_end", "ad_id"], "rows", day="window_end")
+    draw, said, ended = random.Random(6), [], []
+    for batch in range(4):
+        now = [(at + second(batch * 40 + draw.randrange(40)), draw.randrange(3)) for _ in range(30)]
+        said += now
+        add(spark, path, now, schema)
+        ads.sliding_totals(feeds.files(spark, path, schema), log, checkpoint, "1 minute", "10 seconds", "20 seconds")
+        closed = max(t for t, _ in said) - second(20)
+        want = {}
+        for t, ad in said:
+            first = t.replace(microsecond=0) - second(t.second % 10) + second(10)
+            for end in (first + second(10 * i) for i in range(6)):
+                if end <= closed:
+                    want[end, ad] = want.get((end, ad), 0) + 1
+        # a run ends with the watermark it has reached
+        got = {(r.window_end, r.ad_id): r.clicks for r in log.rows().collect()}
+        assert got == want
+        ended.append(len(got))
+    assert ended[0] < ended[-1]
+
+
 def test_empty_batch(spark, tables):
     ads.handle_batch(tables, spark.createDataFrame([], CLICK), 0, 2)
     assert tables.user_counts.totals().count() == 0 and tables.blacklist.rows().count() == 0
@@ -126,7 +173,7 @@ def test_a_log_that_is_folded_and_tried_again_keeps_its_totals(spark):
     for i in range(6):
         log.write(batch(i), i)
         log.write(batch(i), i)  # tried again
-    folded = max(log._ids("folded"))
+    folded = log.folded()
     assert folded >= 3
     for i in range(folded + 1):  # retries of batches that the fold holds
         log.write(batch(100), i)
@@ -145,13 +192,48 @@ def test_a_batch_reads_as_many_folders_after_fifty_batches(spark):
         row = spark.createDataFrame([(f"2024-01-{1 + i // 5:02d}", 1)], "day string, n long").coalesce(1)
         log.write(row, i)
         only.write(row, i)
-        most = max(most, len(log._ids("batches")) + len(log._ids("folded")))
-    assert most <= 6 and len(only._ids("batches")) <= 2
+        most = max(most, sum(map(len, log._tiers())))
+    assert most <= 3 * 4 + 1 and len(only._ids(0)) <= 2
     assert rows(log.totals()) == [(f"2024-01-{d:02d}", 5) for d in range(1, 11)]
     assert "PartitionFilters: [isnotnull(_day" in plan(log.totals(("2024-01-03", "2024-01-04")))
     assert rows(log.totals(("2024-01-03", "2024-01-04"))) == [("2024-01-03", 5), ("2024-01-04", 5)]
 
 
+def test_folds_write_each_row_once_a_tier(spark, monkeypatch):
+    log = BatchLog(spark, fresh_dir(spark, "tiers"), "k long, n long", ["k"], every=3)
+    written, save = [], log._save
+    monkeypatch.setattr(log, "_save", lambda rows, path: (save(rows, path), written.append((path, spark.read.parquet(path).count()))))
+    for i in range(28):  # different keys, so no fold makes rows fewer
+        log.write(spark.range(i * 10, i * 10 + 10).selectExpr("id AS k", "1L AS n").coalesce(1), i)
+    assert log.totals().count() == 280 and [len(ids) for ids in log._tiers()] == [1, 0, 0, 1]
+    assert max(n for path, n in written if "tier-1" in path) == 30
+    # every row is written once in each tier it reaches; rewriting the table at each fold would take 1,350 rows
+    assert sum(n for _, n in written) == 280 + 3 * 270
+    for i in range(28):  # nothing that a fold holds is added again
+        if i <= log.folded():
+            log.write(spark.range(10).selectExpr("id AS k", "100L AS n"), i)
+    assert log.totals().agg(F.sum("n")).first()[0] == 280
+
+
+def test_a_fold_that_was_interrupted(spark):
+    log = BatchLog(spark, fresh_dir(spark, "torn"), "k string, n long", ["k"], every=2)
+    batch = lambda n: spark.createDataFrame([("a", n)], "k string, n long").coalesce(1)
+    for i in range(2):
+        log.write(batch(1), i)
+    fs, _ = log._fs(log.path)
+    # the fold is complete but its sources are still there
+    log._save(batch(2), f"{log.path}/tier-1/1")
+    assert rows(log.totals()) == [("a", 2)]
+    # a fold without its mark does not count
+    log._save(batch(50), f"{log.path}/tier-2/1")
+    fs.delete(log._fs(f"{log.path}/tier-2/1/_SUCCESS")[1], True)
+    assert rows(log.totals()) == [("a", 2)] and log._ids(2) == []
+    for i in range(2, 9):
+        log.write(batch(1), i)
+        log.write(batch(1), i)
+    assert rows(log.totals()) == [("a", 9)]
+
+
 def test_ad_tables_over_many_arrivals(spark):
     """The events of the smallest tables arrive ten days at a time; the same as counting batch by batch by hand."""
     from clickweave.plans import views
