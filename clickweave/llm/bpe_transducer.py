@@ -139,6 +139,8 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
+        for state in getattr(self, "states", {}).values():
+            state.clear()  # states point at each other in circles; without their moves they go at once
         self.start = _State(self._move, ((b"", b""),), b"", -1)
         self.states: dict[tuple, _State] = {self.start.branches: self.start}
 
