@@ -321,20 +321,32 @@ def _decoder(path: str) -> Decoder:
     return Decoder({number: token for token, number in read_ranks(path).items()})
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ``ids`` (array of int) of every row. ``path`` must be readable in every task."""
+def _encoded(docs: DataFrame, path: str, pattern: str, doc_id: str, text: str, back: bool) -> DataFrame:
     said = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make = _encoder(path, pattern)
+        make, tell = _encoder(path, pattern), _decoder(path) if back else None
         for batch in batches:
             for start in range(0, len(batch), _ROWS):
                 some = batch.iloc[start : start + _ROWS]
                 ids = [np.frombuffer(make(t), "<i4") for t in some["text"]]
                 gc.freeze()  # what is kept is not garbage; without this every collection walks all states
-                yield pd.DataFrame({"doc_id": some["doc_id"].astype("Int64"), "ids": pd.Series(ids, some.index, object)})
+                out = {"doc_id": some["doc_id"].astype("Int64"), "ids": pd.Series(ids, some.index, object)}
+                if back:
+                    out["decoded"] = pd.Series([tell(x.tolist()) for x in ids], some.index, object)
+                yield pd.DataFrame(out)
+
+    return said.mapInPandas(encoded, "doc_id long, ids array<int>" + ", decoded string" * back)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and ``ids`` (array of int) of every row. ``path`` must be readable in every task."""
+    return _encoded(docs, path, pattern, doc_id, text, False)
+
 
-    return said.mapInPandas(encoded, "doc_id long, ids array<int>")
+def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``encode`` and then ``decode``, with both in one Python worker: doc_id, ``ids`` and ``decoded``."""
+    return _encoded(docs, path, pattern, doc_id, text, True)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:

@@ -187,8 +187,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 @query("op11_bpe_transducer")
 def op11_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe_transducer.encode(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe_transducer.decode(encoded, RANKS).select(
+    return bpe_transducer.round_trip(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

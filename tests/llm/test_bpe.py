@@ -115,3 +115,9 @@ def test_the_query(spark, small, odd_docs, no_docs, tmp_path):
 def test_null_ids(spark):
     df = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert rows(b.decode(df, RANKS), "doc_id", "decoded") == [(1, ""), (2, "")]
+
+
+def test_both_ways_in_one_worker_or_in_two(spark, odd_docs):
+    one = b.round_trip(odd_docs, RANKS, public_tokenizers.PATTERN)
+    two = b.decode(b.encode(odd_docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert rows(one, "doc_id", "ids", "decoded") == rows(two, "doc_id", "ids", "decoded")
