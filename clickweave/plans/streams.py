@@ -7,7 +7,7 @@ from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
 from clickweave.sinks.writers import BatchLog
-from clickweave.streaming import ads, feeds, words
+from clickweave.streaming import ads, feeds, state, words
 from clickweave.workspace import fresh_dir
 
 THRESHOLD = 2
@@ -190,6 +190,38 @@ def st_province_top3(spark, folder):
     return _ad_tables(spark, folder).province_top.latest()
 
 
+PARTS = 3  # arrivals of whole days
+_ARRIVALS = f"""dated AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date, least(CAST(floor(date_diff('day', (SELECT min(ts) FROM ad_clicks)::DATE, ts::DATE)
+        / ceil((1 + date_diff('day', (SELECT min(ts) FROM ad_clicks)::DATE, (SELECT max(ts) FROM ad_clicks)::DATE)) / {PARTS}.0)) AS BIGINT), {PARTS - 1}) AS part
+        FROM ad_clicks),
+    over AS (SELECT user_id, date, part FROM dated GROUP BY user_id, date, part, ad_id HAVING count(*) >= {THRESHOLD}),
+    first AS (SELECT user_id, min(part) AS part FROM over GROUP BY 1),
+    listed AS (SELECT user_id, part, min(date) AS listed_on FROM over JOIN first USING (user_id, part) GROUP BY 1, 2)"""
+
+
+@query(
+    "st_blacklist_state",
+    views.sql("ad_clicks", extra=_ARRIVALS) + """SELECT user_id, listed_on, count(*) FILTER (listed.part IS NULL OR dated.part <= listed.part) AS kept
+    FROM dated LEFT JOIN listed USING (user_id) GROUP BY 1, 2""",
+)
+def st_blacklist_state(spark, folder):
+    """The clicks arrive in three parts of whole days, so users listed by a part are dropped from the next ones."""
+    clicks = views.ad_clicks(spark, folder)
+    arrived, checkpoint = fresh_dir(spark, "arrived"), fresh_dir(spark, "checkpoint")
+    decided = _log(spark, "decided", state.DECISION, ["kind", "event_id"], "rows")
+    low, high = clicks.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    days = -(-((high - low).days + 1) // PARTS) if low else 1
+    part = F.floor(F.date_diff(F.to_date("ts"), F.lit(low).cast("date")) / days)
+    for i in range(PARTS):
+        clicks.where(part == i).write.mode("append").parquet(arrived)
+        stream = feeds.files(spark, arrived, clicks.schema)
+        with state.rocksdb_state(spark):
+            feeds.each_batch(state.judged(stream, THRESHOLD), decided.write, checkpoint)
+    made = decided.rows()
+    listed_on = F.max(F.when(F.col("kind") == "listed", F.col("date"))).alias("listed_on")
+    return made.groupBy(F.col("user_id").cast("long").alias("user_id")).agg(listed_on, F.count_if(F.col("kind") == "kept").alias("kept"))
+
+
 def _clicks_log(spark, label):
     return _log(spark, label, "window_start timestamp_ntz, ad_id int, n long", ["window_start", "ad_id"], "latest", "window_start")
 

@@ -58,18 +58,25 @@ def handle_batch(tables: AdTables, batch: DataFrame, batch_id: int, threshold: i
     low, high = kept.agg(F.min("date"), F.max("date")).first()
     if low is None:
         return
-    user_keys = ["date", "user_id", "ad_id"]
-    tables.user_counts.write(kept.groupBy(*user_keys).agg(F.count("*").alias("clicks")), batch_id)
+    user_counts(tables, kept, batch_id)
     so_far = tables.user_counts.totals((low, high))
     over = so_far.where(F.col("clicks") >= threshold).select("user_id").distinct()
     tables.blacklist.write(over.join(listed, "user_id", "left_anti"), batch_id)
+    area_counts(tables, kept, batch_id, (low, high), n)
 
+
+def user_counts(tables: AdTables, kept: DataFrame, batch_id: int) -> None:
+    tables.user_counts.write(kept.groupBy("date", "user_id", "ad_id").agg(F.count("*").alias("clicks")), batch_id)
+
+
+def area_counts(tables: AdTables, kept: DataFrame, batch_id: int, days: tuple[str, str], n: int) -> None:
+    """Clicks per place and ad, and the top ads of each province."""
     tables.ad_stat.write(kept.groupBy("date", "province", "city", "ad_id").agg(F.count("*").alias("clicks")), batch_id)
     # Only ads that were clicked in this batch are counted again; the top lists hold all others that matter.
     grown = kept.select("date", "province", "ad_id").distinct()
-    counted = with_partner(tables.ad_stat.rows((low, high)), grown, ["date", "province", "ad_id"])
+    counted = with_partner(tables.ad_stat.rows(days), grown, ["date", "province", "ad_id"])
     changed = counted.groupBy("date", "province", "ad_id").agg(F.sum("clicks").alias("clicks"))
-    old = tables.province_top.latest((low, high), below=batch_id)
+    old = tables.province_top.latest(days, below=batch_id)
     tables.province_top.write(top_after_changes(old, changed, ["date", "province"], "ad_id", "clicks", n), batch_id)
 
 
