@@ -1,15 +1,11 @@
-"""Row filters: patterns, samples, well-formed lines, Bloom membership."""
+"""Row filters: patterns, samples, well-formed lines, membership."""
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweave.functions.hashing import hash_bucket
 from clickweave.operators.joins import with_partner
-from clickweave.workspace import stored
 
 
 def full_match(text: Column, pattern: str) -> Column:
@@ -32,78 +28,6 @@ def well_formed(lines: DataFrame, column: str, fields: int, sep: str = ",") -> D
     return lines.where((F.size(parts) == fields) & (F.element_at(parts, -1) != ""))
 
 
-@dataclass(frozen=True)
-class BloomShape:
-    """Size of a Bloom filter. It comes from declared numbers alone, never from the words at hand."""
-
-    bits: int
-    hashes: int
-
-    @classmethod
-    def best(cls, expected: int, rate: float) -> "BloomShape":
-        """The size for ``expected`` words and false-positive rate ``rate``; more words only raise the rate."""
-        bits = max(1, math.ceil(-expected * math.log(rate) / math.log(2) ** 2))
-        return cls(bits, max(1, round(bits / expected * math.log(2))))
-
-
-HALF = 2**30  # of the 60 bits of a digest that are used
-
-
-def _number(digest: Column) -> Column:
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
-
-
-def _halves(number: Column) -> Column:
-    """Two 30-bit numbers from one hash, for double hashing."""
-    return F.struct(F.pmod(number, F.lit(HALF)).alias("a"), F.shiftright(number, 30).alias("b"))
-
-
-def _steps(shape: BloomShape) -> Column:
-    return F.array(*[F.lit(i) for i in range(shape.hashes)])
-
-
-def _bit_of(hashes: Column, step: Column, shape: BloomShape) -> Column:
-    return F.pmod(hashes["a"] + step * hashes["b"], F.lit(shape.bits))
-
-
-def bloom_words(words: DataFrame, column: str, shape: BloomShape) -> DataFrame:
-    """The filter as a one-row table: an array of 64-bit words. Bits are OR-ed map-side."""
-    hashed = words.select(_number(F.md5(column)).alias("n")).distinct().select(_halves(F.col("n")).alias("h"))
-    bits = hashed.select(F.explode(F.transform(_steps(shape), lambda i: _bit_of(F.col("h"), i, shape))).alias("bit"))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
-    filled = bits.groupBy(F.floor(F.col("bit") / 64).alias("slot")).agg(F.bit_or(one).alias("word"))
-    slots = words.sparkSession.range(math.ceil(shape.bits / 64)).withColumnRenamed("id", "slot")
-    dense = slots.join(filled, "slot", "left").select("slot", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
-    ordered = F.array_sort(F.collect_list(F.struct("slot", "word")))
-    return dense.agg(F.transform(ordered, lambda s: s["word"]).alias("words"))
-
-
-def any_in_bloom(tokens: Column, filter_words: Column, shape: BloomShape) -> Column:
-    """True if all bits of at least one token are set."""
-
-    def is_set(position: Column) -> Column:
-        word = F.get(filter_words, F.floor(position / 64).cast("int"))
-        return F.call_function("shiftright", word, (position % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
-
-    halves = lambda t: _halves(_number(F.md5(t)))
-    return F.exists(F.array_distinct(tokens), lambda t: F.forall(_steps(shape), lambda i: is_set(_bit_of(halves(t), i, shape))))
-
-
-def keep_by_bloom(df: DataFrame, tokens: Column, words: DataFrame, column: str, expected: int, rate: float) -> DataFrame:
-    """Rows with any token in the Bloom filter of ``words``: all true members and about a share ``rate`` of others.
-
-    The filter is built once, stored and read by every task as a constant. Its size is that of ``expected``
-    words, so it never grows with the data; with more words no member is lost, only the rate rises.
-    """
-    shape = BloomShape.best(expected, rate)
-    bits = stored(bloom_words(words.select(column).distinct(), column, shape), "bloom")
-    return (
-        df.withColumn("_bloom", bits.scalar())
-        .where(any_in_bloom(tokens, F.col("_bloom"), shape))
-        .drop("_bloom")
-    )
-
-
 def keep_by_join(df: DataFrame, tokens: Column, words: DataFrame, column: str, row_id: str) -> DataFrame:
     """Rows with any token in ``words``, exactly."""
     pairs = df.select(row_id, F.explode(F.array_distinct(tokens)).alias(column))

@@ -118,11 +118,6 @@ def replicated(
     return left_outer(big, small, on) if how == "left" else inner(big, small, on)
 
 
-def prefiltered(big: DataFrame, small: DataFrame, on: Sequence[str], keep) -> DataFrame:
-    """Filter the small side first; the runtime Bloom filter then drops rows of ``big`` before the shuffle."""
-    return big.join(small.where(keep), list(on))
-
-
 def bucketed(
     left: DataFrame, right: DataFrame, key: str, buckets: int, how: str = "inner", share: float = 0.01, salts: int = 32
 ) -> DataFrame:

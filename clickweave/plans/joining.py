@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickweave.operators import joins, skew
+from clickweave.operators import bloom, joins, skew
 from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
@@ -93,6 +93,9 @@ def join_bucketed_full(spark, folder):
     return joins.bucketed(left, right, key, BUCKETS, "full")
 
 
+EXPECTED_USERS = 100_000  # size of the filter, whatever the tables hold
+
+
 @query(
     "join_bloom_prefilter",
     """SELECT c_custkey AS user_id, c_acctbal, o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
@@ -101,7 +104,7 @@ def join_bucketed_full(spark, folder):
 def join_bloom_prefilter(spark, folder):
     users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal")
     orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("user_id"), "o_orderkey", "o_totalprice")
-    return joins.prefiltered(orders, users, ["user_id"], F.col("c_acctbal") > 1500)
+    return bloom.joined_through_filter(orders, users.where("c_acctbal > 1500"), ["user_id"], EXPECTED_USERS)
 
 
 @query(

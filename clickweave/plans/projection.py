@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from clickweave.functions import registered, scalars
 from clickweave.functions.hashing import sql_hash_number
-from clickweave.operators import filters
+from clickweave.operators import bloom, filters
 from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
+from clickweave.workspace import fresh_dir
 
 FACTOR = 3
 
@@ -157,7 +158,9 @@ def select_limit(spark, folder):
 
 
 BLOOM_WORDS, BLOOM_RATE = 20_000, 0.0001
-_SHAPE = filters.BloomShape.best(BLOOM_WORDS, BLOOM_RATE)
+_BLOCK_BITS = f"""bits AS (SELECT word, ((h % {bloom.blocks_for(BLOOM_WORDS, BLOOM_RATE)}) * 8 + i) * 32 + ((b >> (5 * i)) & 31) AS bit
+        FROM (SELECT word, CAST('0x' || substr(md5(word), 1, 12) AS BIGINT) AS h, CAST('0x' || substr(md5(word), 13, 10) AS BIGINT) AS b,
+            unnest(range(8)) AS i FROM {{0}}))"""
 _HOT_WORDS = f"""hot AS (SELECT DISTINCT word FROM (SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word
     FROM benchmark)),
     doc_words AS (SELECT DISTINCT doc_id, word FROM (SELECT doc_id,
@@ -171,11 +174,7 @@ def _hot_words(spark, folder):
 @query(
     "bloom_filter_docs",
     f"""WITH {_HOT_WORDS},
-    shape AS (SELECT {_SHAPE.bits} AS bits, {_SHAPE.hashes} AS hashes),
-    all_words AS (SELECT word, h % {filters.HALF} AS a, h // {filters.HALF} AS b FROM (SELECT word,
-        CAST('0x' || substr(md5(word), 1, 15) AS BIGINT) AS h FROM (SELECT word FROM hot UNION SELECT word FROM doc_words))),
-    bits AS (SELECT word, (a + i * b) % bits AS bit FROM
-        (SELECT word, a, b, bits, unnest(range(hashes)) AS i FROM all_words, shape)),
+    {_BLOCK_BITS.format('(SELECT word FROM hot UNION SELECT word FROM doc_words)')},
     member AS (SELECT word FROM bits GROUP BY word
         HAVING bool_and(bit IN (SELECT bit FROM bits JOIN hot USING (word))))
     SELECT doc_id, n_chars FROM documents
@@ -183,10 +182,27 @@ def _hot_words(spark, folder):
 )
 def bloom_filter_docs(spark, folder):
     documents = table(spark, folder, "documents")
-    kept = filters.keep_by_bloom(
-        documents, scalars.words_of("text"), _hot_words(spark, folder), "word", BLOOM_WORDS, BLOOM_RATE
-    )
-    return kept.select("doc_id", "n_chars")
+    known = bloom.BlockBloom.trained(_hot_words(spark, folder), "word", BLOOM_WORDS, BLOOM_RATE)
+    return known.keep_any(documents, scalars.words_of("text"), "doc_id").select("doc_id", "n_chars")
+
+
+@query(
+    "bloom_saved_pages",
+    f"""WITH {_HOT_WORDS}, trained AS (SELECT word FROM hot UNION SELECT lang FROM documents),
+    asked AS (SELECT DISTINCT page_id, word FROM (SELECT page_id, unnest(string_split(replace(html, chr(10), ' '), ' ')) AS word FROM pages)),
+    {_BLOCK_BITS.format('(SELECT word FROM trained UNION SELECT word FROM asked)')},
+    member AS (SELECT word FROM bits GROUP BY word HAVING bool_and(bit IN (SELECT bit FROM bits JOIN trained USING (word))))
+    SELECT page_id, count(*) AS n_known FROM asked JOIN member USING (word) GROUP BY 1""",
+)
+def bloom_saved_pages(spark, folder):
+    """Two filters trained apart, merged and saved; loaded again, they tell how many words of a page are known."""
+    words = bloom.BlockBloom.trained(_hot_words(spark, folder), "word", BLOOM_WORDS, BLOOM_RATE)
+    langs = bloom.BlockBloom.trained(table(spark, folder, "documents").select("lang"), "lang", BLOOM_WORDS, BLOOM_RATE)
+    path = fresh_dir(spark, "bloom-saved")
+    words.merged(langs).save(path)
+    asked = table(spark, folder, "pages").select("page_id", F.explode(F.array_distinct(scalars.words_of("html"))).alias("word"))
+    known = bloom.BlockBloom.load(spark, path).keep(asked, "word")
+    return known.groupBy("page_id").agg(F.count("*").alias("n_known"))
 
 
 @query(
