@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from clickweave.functions import scalars
-from clickweave.operators import aggregates, filters, skew, text
+from clickweave.operators import aggregates, filters, sketches, skew, text
 from clickweave.operators.ordering import top_rows, with_position
 from clickweave.plans import views
 from clickweave.plans.projection import SALE_LOG_SQL, sale_log
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
+from clickweave.workspace import fresh_dir
 
 
 @query("reduce_sum", "SELECT CAST(sum(o_custkey) AS BIGINT) AS total, count(*) AS n FROM orders")
@@ -235,6 +236,34 @@ def daily_uv_approx(spark, folder):
     return counts.select("date", "exact", near.alias("within_error"))
 
 
+@query(
+    "period_uv_sketch",
+    """WITH visits AS (SELECT strftime(ts, '%Y-%m') AS month, strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, user_id FROM events)
+    SELECT 'month' AS kind, month AS period, count(DISTINCT user_id) AS exact, TRUE AS within_error FROM visits GROUP BY 2
+    UNION ALL SELECT 'week', week, count(DISTINCT user_id), TRUE FROM visits GROUP BY 2""",
+)
+def period_uv_sketch(spark, folder):
+    """Visitors of weeks and months from sketches stored by day, beside exact counts: within five standard errors?
+
+    The events of every seventh id arrive late, in a second batch, and are merged into their days.
+    """
+    events = table(spark, folder, "events")
+    log = sketches.sketch_log(spark, fresh_dir(spark, "uv-sketches"))
+    for i, arrived in enumerate(("event_id % 7 <> 0", "event_id % 7 = 0")):
+        log.write(sketches.daily_sketches(events.where(arrived), F.date_format("ts", "yyyy-MM-dd"), "user_id"), i)
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.ceil(5 * sketches.standard_error() * F.col("exact"))
+    out = None
+    for kind, of_day, of_event in (
+        ("month", F.substring("day", 1, 7), F.date_format("ts", "yyyy-MM")),
+        ("week", F.date_format(F.date_trunc("week", F.col("day").cast("timestamp_ntz")), "yyyy-MM-dd"), F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")),
+    ):
+        exact = events.groupBy(of_event.alias("period")).agg(F.countDistinct("user_id").alias("exact"))
+        both = exact.join(sketches.distinct_in(log.rows(), of_day, "estimate"), "period", "left")
+        lines = both.select(F.lit(kind).alias("kind"), "period", "exact", F.coalesce(near, F.lit(False)).alias("within_error"))
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
 @query("agg_salted", "SELECT l_returnflag, sum(l_quantity) AS quantity, count(*) AS n FROM lineitem GROUP BY 1")
 def agg_salted(spark, folder):
     lines = table(spark, folder, "lineitem")

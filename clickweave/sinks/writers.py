@@ -70,6 +70,7 @@ class BatchLog:
 
     * ``totals``: per key the sum of the batches;
     * ``latest``: per key the values of the last batch that had it;
+    * ``sketches``: per key the union of the batches' distinct sketches;
     * ``rows``: all rows, moved together;
     * ``batch``: only the last batch is kept.
 
@@ -143,7 +144,7 @@ class BatchLog:
                 return
             if self.how != "batch":
                 rows = self._read([(i, f"{self.path}/{self._name(tier)}/{i}") for i in ready])
-                merge = {"totals": self._sums, "latest": self._lasts, "rows": lambda r: r.drop("batch_id")}[self.how]
+                merge = {"totals": self._sums, "latest": self._lasts, "sketches": self._unions, "rows": lambda r: r.drop("batch_id")}[self.how]
                 self._save(merge(rows).select(*self.schema.names), f"{self.path}/{self._name(tier + 1)}/{ready[-1]}")
             # also what earlier, interrupted folds have left
             for i in self._ids(tier):
@@ -188,6 +189,9 @@ class BatchLog:
     def _sums(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.keys).agg(*[F.sum(v).alias(v) for v in self.values])
 
+    def _unions(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(*[F.hll_union_agg(v).alias(v) for v in self.values])
+
     def latest(self, days: tuple | None = None, below: int | None = None) -> DataFrame:
         """Upsert that sets: per key the values of the last batch that had it."""
         return self._lasts(self.rows(days, below))
