@@ -8,8 +8,8 @@ from clickweave.plans import views
 from clickweave.plans.registry import query
 from clickweave.plans.views import table
 from clickweave.sinks import writers
-from clickweave.sources import readers
-from clickweave.workspace import fresh_dir
+from clickweave.sources import readers, sharded
+from clickweave.workspace import fresh_dir, stored
 
 
 @query(
@@ -144,6 +144,44 @@ def src_xml_rows(spark, folder):
     return readers.xml_rows(readers.text_lines(spark, path), "value", {"Id": "long", "Name": "string", "Reputation": "double"})
 
 
+@query(
+    "src_xml_dump",
+    """SELECT CASE WHEN c_custkey % 50 > 0 THEN c_custkey END AS "Id", CASE WHEN c_custkey % 50 > 0 THEN c_name || ' & Co' END AS "Name",
+              CASE WHEN c_custkey % 50 = 0 THEN c_custkey END AS broken_id FROM customer""",
+)
+def src_xml_dump(spark, folder):
+    """A dump in which every 50th row has a bare ampersand and so is no XML."""
+    name = F.concat(F.col("c_name"), F.lit(" & Co"))
+    sound = readers.xml_row({"Id": F.col("c_custkey"), "Name": name})
+    row = F.when(F.col("c_custkey") % 50 == 0, F.replace(sound, F.lit("&amp;"), F.lit("&"))).otherwise(sound)
+    path = fresh_dir(spark, "dump")
+    writers.save_text(table(spark, folder, "customer").select(row.alias("value")), path)
+    rows = readers.xml_files(spark, path, {"Id": "long", "Name": "string"})
+    id_of = F.regexp_extract("_broken", 'Id="([0-9]+)"', 1).cast("long")
+    return rows.select("Id", "Name", id_of.alias("broken_id"))
+
+
+@query(
+    "src_json_variant",
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS other,
+              CAST(json(props) AS VARCHAR) AS props FROM events""",
+)
+def src_json_variant(spark, folder):
+    events = readers.json_variant(table(spark, folder, "events").select("event_id", "props"), "props")
+    found = readers.variant_fields(events, "props", {"k": ("$.k", "int"), "other": ("$.other", "string")})
+    return found.withColumn("props", F.to_json("props"))
+
+
+@query(
+    "src_json_variant_schema",
+    """SELECT event_type, 'OBJECT<' || string_agg(DISTINCT name || ': BIGINT', ', ' ORDER BY name || ': BIGINT') || '>' AS fields
+       FROM (SELECT event_type, unnest(json_keys(props)) AS name FROM events) GROUP BY 1""",
+)
+def src_json_variant_schema(spark, folder):
+    events = readers.json_variant(table(spark, folder, "events").select("event_type", "props"), "props")
+    return readers.variant_schema(events, "props", "event_type")
+
+
 SHARDS = 6
 
 
@@ -164,6 +202,50 @@ def src_sharded_kv(spark, folder):
     return readers.sharded(spark, _sharded(spark, folder), SHARDS, F.lit("77")).select("key", "value")
 
 
+def _order_store(spark, folder):
+    path = fresh_dir(spark, "order-store")
+    orders = table(spark, folder, "orders")
+    sharded.save(orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("value")), path, SHARDS)
+    return path
+
+
+@query(
+    "sink_shard_source",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS value FROM orders
+       UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer""",
+)
+def sink_shard_source(spark, folder):
+    path = _order_store(spark, folder)
+    more = table(spark, folder, "customer").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value"))
+    sharded.save(more, path, SHARDS)
+    return sharded.load(spark, path, SHARDS).select("key", "value")
+
+
+@query(
+    "src_shard_source",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS value FROM orders WHERE o_orderkey IN (7, 77, 777)",
+)
+def src_shard_source(spark, folder):
+    return sharded.load(spark, _order_store(spark, folder), SHARDS, ["7", "77", "777"]).select("key", "value")
+
+
+@query(
+    "src_month_dynamic",
+    """WITH months AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n,
+                              count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent FROM orders GROUP BY 1)
+    SELECT month, o_orderkey, n, urgent FROM orders JOIN months ON strftime(o_orderdate, '%Y-%m') = month WHERE urgent * 4 > n""",
+)
+def src_month_dynamic(spark, folder):
+    """Orders of the months in which more than a quarter were urgent; only the folders of those are read."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    path = fresh_dir(spark, "months")
+    writers.save_by_month(orders, "o_orderdate", path)
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    counts = orders.groupBy(month).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    chosen = stored(counts, "calendar").where(F.col("urgent") * 4 > F.col("n"))
+    return readers.months_of(spark, path, chosen, "o_orderkey long").select("month", "o_orderkey", "n", "urgent")
+
+
 @query(
     "src_month_pruned",
     """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE strftime(o_orderdate, '%Y-%m') IN ('1996-03', '1998-11')""",

@@ -68,6 +68,34 @@ def xml_rows(lines: DataFrame, column: str, fields: Mapping[str, str]) -> DataFr
     return parsed.select(*[F.col(f"r._{name}").alias(name) for name in fields])
 
 
+def xml_files(spark: SparkSession, path: str, fields: Mapping[str, str], row_tag: str = "row", broken: str = "_broken") -> DataFrame:
+    """Attributes of the ``row_tag`` elements of XML files, whatever stands around them.
+
+    Large files are split between tasks. An element that is no XML has null fields and its text in ``broken``, which is
+    null for all others; so no row is lost, and none stops the read. A value that is not of its field's type counts
+    as broken too.
+    """
+    schema = ", ".join([*(f"_{name} {kind}" for name, kind in fields.items()), f"{broken} string"])
+    reader = spark.read.format("xml").schema(schema).option("rowTag", row_tag).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", broken).load(path)
+    return rows.select(*[F.col(f"_{name}").alias(name) for name in fields], broken)
+
+
+def json_variant(df: DataFrame, column: str) -> DataFrame:
+    """JSON text of a column parsed once, into a variant that keeps all its fields; what is no JSON becomes null."""
+    return df.withColumn(column, F.try_parse_json(column))
+
+
+def variant_fields(df: DataFrame, column: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """``name: (path, type)`` of a variant as columns beside it; what is missing or not of the type becomes null."""
+    return df.select("*", *[F.try_variant_get(column, path, kind).alias(name) for name, (path, kind) in fields.items()])
+
+
+def variant_schema(df: DataFrame, column: str, *keys: str, name: str = "fields") -> DataFrame:
+    """The fields and types that all values of a variant have together, for each ``keys``."""
+    return df.groupBy(*keys).agg(F.schema_of_variant_agg(column).alias(name))
+
+
 def tagged(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Several inputs as one table with their origin; a column an input lacks is null."""
     frames = [df.withColumn("origin", F.lit(tag)) for tag, df in sources.items()]
@@ -114,3 +142,14 @@ def sharded(spark: SparkSession, path: str, shards: int, key: Column | None = No
 def months(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
     """Only the folders of the given months."""
     return spark.read.parquet(path).where(F.col("month").isin(*wanted))
+
+
+def months_of(spark: SparkSession, path: str, chosen: DataFrame, facts: str) -> DataFrame:
+    """Rows of the months that ``chosen`` names, found while the query runs.
+
+    ``chosen`` has one row a month and a condition on it; its months prune the folders of the facts before they are
+    read (dynamic partition pruning). It is broadcast, as a calendar has 12 rows a year. ``facts`` is the facts' schema
+    without ``month``, so that no file is opened to find it.
+    """
+    rows = spark.read.schema(f"{facts}, month string").parquet(path)
+    return rows.join(F.broadcast(chosen), "month")
