@@ -73,11 +73,13 @@ def xml_files(spark: SparkSession, path: str, fields: Mapping[str, str], row_tag
 
     Large files are split between tasks. An element that is no XML has null fields and its text in ``broken``, which is
     null for all others; so no row is lost, and none stops the read. A value that is not of its field's type counts
-    as broken too.
+    as broken too. Spark refuses to read ``broken`` alone from the files; select it with a field, or store the rows.
     """
     schema = ", ".join([*(f"_{name} {kind}" for name, kind in fields.items()), f"{broken} string"])
     reader = spark.read.format("xml").schema(schema).option("rowTag", row_tag).option("mode", "PERMISSIVE")
-    rows = reader.option("columnNameOfCorruptRecord", broken).load(path)
+    # element by element: the other parser gives up the rest of a file at the first broken one, and fails on wrong types
+    reader = reader.option("useLegacyXMLParser", "true").option("columnNameOfCorruptRecord", broken)
+    rows = reader.load(path)
     return rows.select(*[F.col(f"_{name}").alias(name) for name in fields], broken)
 
 

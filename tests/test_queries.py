@@ -11,7 +11,7 @@ from tools.check import TABLES, rows_of
 SOME = [
     "area_top3_product", "map_select", "where_float_cast", "bloom_filter_docs", "grep_fullmatch", "date_keys", "udf_strlen",
     "join_full", "join_left", "join_anti_symmetric", "join_bucketed", "join_bucketed_full", "cogroup_lists", "join_three_way", "group_values",
-    "wordcount_sorted", "wordcount_pages", "dictionary_counts", "tfidf_sql", "qa_hierarchy", "observe_sum", "src_parquet_sql", "posts_vs_average",
+    "wordcount_sorted", "wordcount_pages", "dictionary_counts", "tfidf_sql", "qa_hierarchy", "observe_sum", "src_parquet_sql", "src_shard_source", "src_month_dynamic", "src_json_variant", "src_xml_dump", "posts_vs_average",
     "inverted_index_links", "row_number_rank", "hierarchy_order_lines", "merged_anonymize_distinct", "session_filter",
     "session_extract", "top10_session", "page_convert_string", "src_xml_rows", "st_blacklist_static",
     "st_click_hour_total", "st_user_ad_counts", "st_window_top3", "sink_upsert_add",

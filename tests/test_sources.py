@@ -139,8 +139,8 @@ def test_xml_dump_of_several_files(spark):
     got = readers.xml_files(spark, path, {"Id": "long", "Name": "string"})
     sound = rows(got.where("_broken is null"), "Id", "Name")
     assert sound == [(1, "A & B"), (2, None), (4, "")]
-    broken = [text for (text,) in rows(got.where("_broken is not null").select("Id", "Name", "_broken"), "_broken")]
-    assert len(broken) == 2 and any("bare & sign" in t for t in broken) and any('Id="x"' in t for t in broken)
+    broken = rows(got.where("_broken is not null"))
+    assert broken == [(None, None, '<row Id="3" Name="bare & sign" />'), (None, None, '<row Id="x" Name="no number" />')]
 
 
 def test_json_variant_keeps_what_no_schema_names(spark):
