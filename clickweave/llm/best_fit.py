@@ -31,13 +31,12 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from clickweave.llm.common import texts
+from clickweave.llm.common import kept, texts
 from clickweave.operators.ordering import with_position
 from clickweave.workspace import stored
 
@@ -124,11 +123,6 @@ def _merger(file: dict):
     return tiktoken.Encoding("parts", pat_str=pattern, mergeable_ranks=words, special_tokens={}).encode_ordinary
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces: only the first may be shorter than a sequence."""
     if length <= capacity:
@@ -145,7 +139,7 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(tokenizer)
+        encode = kept(f"encoder of {tokenizer}", lambda: Encoder(tokenizer))
         for batch in batches:
             out = []
             for row, name, said in zip(batch["row"], batch["doc_id"], batch["text"]):

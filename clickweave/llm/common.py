@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from functools import wraps
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickweave.workspace import fresh_dir, scope, stored
@@ -26,6 +29,26 @@ def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+T = TypeVar("T")
+_kept: list[tuple[str, object]] = []
+
+
+def kept(name: str, make: Callable[[], T]) -> T:
+    """The one object that a Python worker keeps between its tasks; another name takes the place of the one before."""
+    if not _kept or _kept[0][0] != name:
+        give_back()
+        _kept.append((name, make()))
+    return _kept[0][1]
+
+
+def give_back() -> None:
+    """Free what earlier tasks left in this Python worker, which lives on through the stages of other operators."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Run an operator whole, keep its result and remove the tables it made on the way."""
 

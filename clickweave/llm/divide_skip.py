@@ -40,7 +40,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import in_order, texts, tidy
+from clickweave.llm.common import give_back, in_order, texts, tidy
 from clickweave.llm.components import components
 from clickweave.operators.ordering import top_per_group
 from clickweave.workspace import fresh_dir, scope, stored
@@ -246,6 +246,7 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
     """Per document (doc_id, n, class); per task its shingle counts in slices, each class of it once."""
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         shingles, counts, told = Shingler(words), np.zeros(1 << _BUCKET_BITS, np.int64), set()
         for batch in batches:
             rows, held, size = [], [], 0
@@ -302,6 +303,7 @@ def _rare_first(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         shingles, told = Shingler(words), set()
         for batch in batches:
             parts = []
@@ -515,6 +517,7 @@ def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     places = [f"place{i}" for i in range(_FILTER_HASHES)]
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         shingles, told = Shingler(words), set()
         for batch in batches:
             wanted = np.ones(len(batch), bool)

@@ -13,8 +13,8 @@ sample, and its order is fixed, so a retry learns the same model.
 
 Scoring reads every whole text. The output is linear in the mean before the softmax, so a feature counts with
 one number and a word with the sum of its features' numbers. A Python worker keeps one scorer with a bounded cache
-of words over all its tasks of one model; the n-grams of all words of a batch that it has not seen are hashed at
-once in numpy, by the same code in training and scoring.
+of words over all its tasks of one model, until another operator needs the memory; the n-grams of all words of a
+batch that it has not seen are hashed at once in numpy, by the same code in training and scoring.
 
 A null or empty text has no features and gets the score of the bias alone. Labels without a quality, a doc_id
 or a document are left out; without any label every score is 0.5. Repeated rows are scored, or learned from,
@@ -31,7 +31,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import texts
+from clickweave.llm.common import kept, texts
 
 _CACHE = 500_000  # words kept by a worker
 
@@ -257,35 +257,25 @@ class Scorer(_Vocabulary):
                 yield float(1 / (1 + np.exp(-np.clip(raw, -60, 60))))
 
 
-_kept_scorer: list[tuple[str, Scorer]] = []
-
-
-def _scorer(name: str, shared, s: Settings) -> Scorer:
-    """The scorer of this Python worker; one model's at a time."""
-    if not _kept_scorer or _kept_scorer[0][0] != name:
-        _kept_scorer[:] = [(name, Scorer(Model.unpacked(s, *shared.value), s))]
-    return _kept_scorer[0][1]
-
-
 def scored(df: DataFrame, model: Model, s: Settings = Settings(), text: str = "text", score: str = "score") -> DataFrame:
     """``df`` with one more column, the probability of label 1; the model's size is bounded by the settings."""
     spark = df.sparkSession
     packed = model.packed()
-    name = f"{s} {xxhash.xxh3_128_hexdigest(b''.join(packed))}"
+    name = f"scorer {s} {xxhash.xxh3_128_hexdigest(b''.join(packed))}"
     shared = spark.sparkContext.broadcast(packed)
     names = df.columns
-    kept = df.select(F.struct(*names).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text")) if names != ["doc_id", "text"] else df
+    rows = df.select(F.struct(*names).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text")) if names != ["doc_id", "text"] else df
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = _scorer(name, shared, s)
+        scorer = kept(name, lambda: Scorer(Model.unpacked(s, *shared.value), s))
         for batch in batches:
             yield pd.Series(list(scorer(batch)), index=batch.index, dtype=float)
 
     scores.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     score_of = F.pandas_udf(scores, "double")
-    if kept is df:
+    if rows is df:
         return df.withColumn(score, score_of("text"))
-    return kept.select("row.*", score_of("text").alias(score))
+    return rows.select("row.*", score_of("text").alias(score))
 
 
 def is_held_out(doc_id: str | Column = "doc_id") -> Column:
