@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable
 from functools import wraps
@@ -43,10 +44,12 @@ def kept(name: str, make: Callable[[], T]) -> T:
 
 def give_back() -> None:
     """Free what earlier tasks left in this Python worker, which lives on through the stages of other operators."""
-    if _kept:
-        _kept.clear()
-        gc.collect()
+    _kept.clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:

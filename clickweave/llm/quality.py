@@ -31,9 +31,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweave.llm.common import kept, texts
+from clickweave.llm.common import give_back, kept, texts
 
-_CACHE = 500_000  # words kept by a worker
+_CACHE = 250_000  # words kept by a worker
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ def repeat_feature(s: Settings) -> int:
     return xxhash.xxh32_intdigest("", 2) % s.buckets
 
 
-def _batches(texts: Iterable[str], size: int = 1 << 20) -> Iterator[list[list[str]]]:
+def _batches(texts: Iterable[str], size: int = 1 << 18) -> Iterator[list[list[str]]]:
     """Words of consecutive texts, about ``size`` characters at a time; a longer text is a batch of its own."""
     held, room = [], size
     for text in texts:
@@ -137,14 +137,14 @@ class Bags(_Vocabulary):
 
     def learn(self, words: list[str]) -> None:
         features, owners = features_of(words, self.s)
-        features = features[np.argsort(owners, kind="stable")]
+        features = features[np.argsort(owners, kind="stable")].astype(np.int32)
         self.lists.extend(np.split(features, np.cumsum(np.bincount(owners, minlength=len(words)))[:-1]) if words else [])
 
     def __call__(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in _batches(texts):
             for ids in self.ids(batch):
                 same = int((ids[1:] == ids[:-1]).sum())
-                every = np.concatenate([*(self.lists[i] for i in ids), np.full(same, repeat_feature(self.s), np.int64)]) if len(ids) else ids
+                every = np.concatenate([*(self.lists[i] for i in ids), np.full(same, repeat_feature(self.s), np.int32)]) if len(ids) else ids
                 features, counts = np.unique(every, return_counts=True)
                 yield features, (counts / max(1, len(every))).astype(np.float32)
 
@@ -219,8 +219,11 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id:
                     bags.append(bag)
                     marks.append(int(mark))
                     room -= len(bag[0])
+        make.reset()
         if bags:
             yield pd.DataFrame([trained(bags, marks, s).packed()], columns=["vectors", "layer", "bias"])
+        bags.clear()
+        give_back()
 
     one = sample(docs, labels, s, doc_id, text, label).repartition(1).sortWithinPartitions("place", "doc_id", "label", "text")
     model = one.mapInPandas(learned, "vectors binary, layer binary, bias binary").toArrow().to_pylist()
