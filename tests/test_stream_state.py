@@ -72,3 +72,19 @@ def test_clicks_without_a_time_and_large_ids(spark):
     with state.rocksdb_state(spark):
         feeds.each_batch(state.judged(feeds.files(spark, path, CLICK), 3), log.write, checkpoint)
     assert rows(log.rows(), "kind", "event_id", "user_id", "ad_id") == [("kept", str(2**60 + 1), "7", None)]
+
+
+def test_state_has_a_row_per_bucket_and_day_not_per_user(spark):
+    path, checkpoint = fresh_dir(spark, "in"), fresh_dir(spark, "cp")
+    users = range(3 * state.BUCKETS)
+    log = BatchLog(spark, fresh_dir(spark, "decided"), state.DECISION, ["event_id"], "rows")
+    with state.rocksdb_state(spark):
+        for first in (0, 10_000):
+            add(spark, path, [click(first + u, 1, u) for u in users] + [click(first + 9000, 1, None)], CLICK)
+            feeds.each_batch(state.judged(feeds.files(spark, path, CLICK), 2), log.write, checkpoint)
+            if not first:
+                held = spark.read.format("statestore").option("stateVarName", "counts").load(checkpoint)
+                assert held.count() <= state.BUCKETS  # a day's users of a bucket are one row
+    made = log.rows()
+    assert made.where("kind = 'kept'").count() == 2 * len(users) + 2
+    assert made.where("kind = 'listed'").select("user_id").distinct().count() == made.where("kind = 'listed'").count() == len(users)
