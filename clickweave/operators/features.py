@@ -23,22 +23,34 @@ def as_array(vector: str) -> Column:
 
 
 HOT_TERMS = 1000
+COMMON_TERMS, COMMON_BYTES = 250_000, 64  # so many terms of at most so many bytes are copied to every task
 
 
-def tfidf(df: DataFrame, row_id: str, words: Column) -> DataFrame:
+def tfidf(df: DataFrame, row_id: str, words: Column, common_terms: int = COMMON_TERMS) -> DataFrame:
     """TF-IDF per (row, term): ``tf * ln((rows + 1) / (rows with the term + 1))``.
 
-    Rows per term are counted from each row's distinct terms and combine before the shuffle. The most frequent
-    terms, which would gather in one task, are read off that table and their rows are spread in the join.
+    Rows per term are counted from each row's distinct terms and combine before the shuffle. Texts, not their terms, are
+    brought together by ``row_id`` to be counted, unless one id has too many rows for a task. The ``common_terms`` most
+    frequent terms, which are most of all rows, meet their idf in a table copied to every task; the others are joined by
+    term, and long terms that are frequent, which would gather in one task, are spread in that join.
     """
-    total = df.agg(F.count("*")).scalar()
+    most, total = df.groupBy(row_id).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    total = total or 0
     found = df.select(F.explode(F.array_distinct(words)).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
-    idf = stored(found.select("term", "df", F.log((total + 1) / (F.col("df") + 1)).alias("idf")), "idf")
-    top = idf.orderBy(F.desc("df"), "term").limit(HOT_TERMS).where(F.col("df") * 100 > total)
+    idf = stored(found.select("term", "df", F.log((F.lit(total) + 1) / (F.col("df") + 1)).alias("idf")), "idf")
+    short = idf.where(F.octet_length("term") <= COMMON_BYTES)
+    common = stored(short.orderBy(F.desc("df"), "term").limit(common_terms).select("term", "idf"), "common-terms")
+    others = stored(idf.join(F.broadcast(common), "term", "left_anti"), "other-terms")
+    texts = df.repartition(row_id) if (most or 0) <= max(100, total // 100) else df
+    tokens = texts.select(row_id, F.explode(words).alias("term")).where("term <> ''")
+    often = tokens.join(F.broadcast(common), "term").groupBy(row_id, "term", "idf").agg(F.count("*").alias("tf"))
+    scored = lambda counted: counted.select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    if others.isEmpty():
+        return scored(often)
+    top = others.where(F.col("df") * 100 > total).orderBy(F.desc("df"), "term").limit(HOT_TERMS)
     hot = [r[0] for r in top.select(F.xxhash64("term")).collect()]
-    tf = df.select(row_id, F.explode(words).alias("term")).where("term <> ''").groupBy(row_id, "term").agg(F.count("*").alias("tf"))
-    joined = join_keyed(tf, idf.drop("df"), ["term"], row_id=[row_id], hot=hot)
-    return joined.select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    seldom = tokens.join(F.broadcast(common), "term", "left_anti").groupBy(row_id, "term").agg(F.count("*").alias("tf"))
+    return scored(often).unionByName(scored(join_keyed(seldom, others.drop("df"), ["term"], row_id=[row_id], hot=hot)))
 
 
 BUCKETS = 1 << 16

@@ -41,3 +41,19 @@ def test_the_vocabulary_is_bounded(spark):
     assert features.word_vectors(df, "words", buckets=4).getVectors().count() <= 4
     out = features.document_vectors(df, "words", buckets=4)
     assert [len(r.words) for r in out.orderBy("id").collect()] == [5, 7, 5]
+
+
+def test_common_and_other_terms_score_the_same(spark):
+    texts = [f"all w{i % 5} w{i % 5} rare{i} {'long' * 30}" for i in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(3, "all again"), (None, "all"), (99, None)], "id int, text string")
+    score = lambda **o: features.tfidf(df, "id", F.split("text", " "), **o)
+    want = {}
+    for i, text in df.collect():
+        for term in (text or "").split():
+            want[i, term] = want.get((i, term), 0) + 1
+    n = lambda term: sum(term in (t or "").split() for _, t in df.collect())
+    idf = {term: math.log((63 + 1) / (n(term) + 1)) for _, term in want}
+    for terms in (1000, 6):
+        got = score(common_terms=terms).collect()
+        assert len(got) == len(want) and {(r.id, r.term): r.tf for r in got} == want
+        assert all(math.isclose(r.tfidf, r.tf * idf[r.term], abs_tol=1e-12) for r in got)
