@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clickweave.operators.joins import with_partner, without_partner
 from clickweave.operators.ordering import top_after_changes
@@ -98,16 +103,77 @@ def clicks_per(stream: DataFrame, log: BatchLog, checkpoint: str, size: str, lat
 def sliding_totals(stream: DataFrame, log: BatchLog, checkpoint: str, size: str = "1 hour", slide: str = "10 seconds", late: str = "10 minutes") -> None:
     """Clicks per ad in the window of ``size`` that slides by ``slide``, out of the stream itself.
 
-    Two windows in a chain with one watermark: clicks are counted in panes of ``slide``, and the closed panes, by their
-    time, in the long windows that hold them; so a pane, not a click, is copied to its windows. A line is logged once,
-    when its window closes; clicks later than ``late`` are dropped. Both windows leave the state when they close, so the
-    state holds the panes of ``late`` and the windows of ``size`` + ``late``, whatever has gone before.
+    Clicks are counted in panes of ``slide``, first in every chunk of a task, so that a hot ad is not shuffled click by
+    click. As many windows, one after the other, as a window has panes are a run; a pane goes to the one or two runs whose
+    windows hold it, not to each of the windows. The state of a run and ad is its panes (less than twice those of a
+    window), and the totals of its windows are differences of running sums. A line is logged once, when its window
+    closes; clicks whose pane is later than ``late`` are dropped. Panes leave the state when the last window of the run
+    that holds them closes, so the state holds those of ``size`` + ``late``, whatever has gone before.
     """
-    timed = stream.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", late)
-    panes = timed.groupBy(F.window("_ts", slide).alias("pane"), "ad_id").agg(F.count("*").alias("n"))
-    sums = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), "ad_id").agg(F.sum("n").alias("clicks"))
-    ended = sums.select(F.col("w.end").cast("timestamp_ntz").alias("window_end"), "ad_id", "clicks")
-    each_batch(ended, log.write, checkpoint, "append")
+    step, length = _micros(stream.sparkSession, slide), _micros(stream.sparkSession, size)
+    if step > length:
+        raise ValueError("a window cannot slide by more than its size")
+    per = length // step
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    clicks = stream.where("ts IS NOT NULL").select(F.col("ad_id").cast("string").alias("ad_id"), micros.alias("at"))
+    clicks = clicks.withColumn("pane", F.expr(f"(at - pmod(at, {step}L)) div {step}L"))
+    counts = clicks.mapInArrow(_per_pane, "ad_id string, pane long, at long, n long")
+    timed = counts.withColumn("_ts", F.timestamp_micros("at")).withWatermark("_ts", late)
+    # Whole panes are late or not, by the time they end.
+    panes = timed.withColumn("_pane", F.window("_ts", slide)).select("ad_id", "pane", "n", F.window_time("_pane").alias("_ended"))
+
+    def run_of(window):
+        return window - F.pmod(window, F.lit(per))
+
+    runs = F.explode(F.sequence(run_of(F.col("pane") - (per - 1)), run_of(F.col("pane")), F.lit(per).cast("long")))
+    ended = panes.withColumn("run", runs).groupBy("run", "ad_id").applyInPandasWithState(
+        _ended_windows(per, step, length), "window_end long, ad_id string, clicks long", "done int, panes array<int>, counts array<long>",
+        "append", GroupStateTimeout.EventTimeTimeout,
+    )
+    lines = ended.select(F.timestamp_micros("window_end").cast("timestamp_ntz").alias("window_end"), "ad_id", "clicks")
+    each_batch(lines, log.write, checkpoint, "append")
+
+
+def _per_pane(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in chunks:
+        counted = pa.Table.from_batches([chunk]).group_by(["ad_id", "pane"]).aggregate([("at", "max"), ("at", "count")])
+        yield from counted.rename_columns(["ad_id", "pane", "at", "n"]).to_batches()
+
+
+def _micros(spark: SparkSession, interval: str) -> int:
+    window = spark.range(1).select(F.window(F.timestamp_micros(F.lit(0)), interval).alias("w"))
+    return window.select(F.unix_micros("w.end") - F.unix_micros("w.start")).first()[0]
+
+
+def _ended_windows(per: int, step: int, length: int):
+    """For one run of ``per`` windows and one ad: the lines of the windows that the watermark has passed since the last call.
+
+    Panes and windows are numbered from the run's first one; window i holds the panes i to i + ``per`` - 1.
+    """
+
+    def ended(key: tuple, new: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        run, ad = int(key[0]), key[1]
+        done, panes, counts = state.get if state.exists else (0, [], [])
+        held = np.zeros(2 * per, dtype="int64")
+        held[np.array(panes, dtype="int64")] = counts
+        if not state.hasTimedOut:
+            for part in new:
+                np.add.at(held, part["pane"].to_numpy("int64") - run, part["n"].to_numpy("int64"))
+        so_far = np.cumsum(held) - held  # of the panes before each one
+        totals = so_far[per:] - so_far[:per]
+        passed = state.getCurrentWatermarkMs() * 1000
+        due = min(max((passed - length) // step - run + 1, done), per)
+        kept = due + np.flatnonzero(held[due:])
+        if due < per and len(kept):
+            state.update((due, kept.tolist(), held[kept].tolist()))
+            next_end = (run + due + int(np.argmax(totals[due:] > 0))) * step + length
+            state.setTimeoutTimestamp((next_end - 1) // 1000)  # a watermark beyond it has reached that end
+        elif state.exists:
+            state.remove()
+        lines = done + np.flatnonzero(totals[done:due])
+        yield pd.DataFrame({"window_end": (run + lines) * step + length, "ad_id": [ad] * len(lines), "clicks": totals[lines]})
+
+    return ended
 
 
 def hour_totals(counts: DataFrame, slide: int = 10, size: int = 3600) -> DataFrame:

@@ -155,6 +155,35 @@ def test_sliding_totals_come_out_of_the_stream_as_windows_close(spark):
     assert ended[0] < ended[-1]
 
 
+def test_a_click_is_kept_for_runs_of_windows_not_for_each_window(spark, monkeypatch):
+    path, checkpoint = fresh_dir(spark, "in"), fresh_dir(spark, "cp")
+    log = BatchLog(spark, fresh_dir(spark, "log"), ads.SLIDING_SCHEMA, ["window_end", "ad_id"], "rows", day="window_end")
+    updated = []
+
+    def run(writer, checkpoint):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        updated.extend(op.numRowsUpdated for progress in query.recentProgress for op in progress.stateOperators)
+
+    monkeypatch.setattr(feeds, "run_available", run)
+    start, second = dt.datetime(2024, 1, 1, 22, 50), lambda n: dt.timedelta(seconds=n)
+    draw, said = random.Random(4), []
+    for first, last in ((0, 1500), (1400, 6000), (30_000, 30_100)):  # late clicks, and hours without any
+        now = [(start + second(draw.randrange(first, last)), draw.choice([1, 2, None])) for _ in range(40)] + [(None, 1)]
+        said += now[:-1]
+        add(spark, path, now, "ts timestamp_ntz, ad_id int")
+        ads.sliding_totals(feeds.files(spark, path, "ts timestamp_ntz, ad_id int"), log, checkpoint)
+    want, closed = {}, max(t for t, _ in said) - second(600)
+    for t, ad in said:
+        pane = t - second(t.second % 10)
+        for end in (pane + second(10 * i) for i in range(1, 361)):
+            if end <= closed:
+                want[end, ad] = want.get((end, ad), 0) + 1
+    lines = log.rows().collect()
+    assert {(r.window_end, r.ad_id): r.clicks for r in lines} == want and len(lines) == len(want)
+    assert sum(updated) <= 4 * len(said)  # 360 windows hold each of them
+
+
 def test_empty_batch(spark, tables):
     ads.handle_batch(tables, spark.createDataFrame([], CLICK), 0, 2)
     assert tables.user_counts.totals().count() == 0 and tables.blacklist.rows().count() == 0
