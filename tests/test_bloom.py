@@ -49,6 +49,15 @@ def test_repeated_and_null_values_stay_as_often_as_they_come(spark):
         assert rows(known.keep(values, "v", max_bytes)) == [("",)] + [("a",)] * 5
 
 
+@pytest.mark.parametrize("max_bytes", [64 << 20, 0])
+def test_a_token_is_hashed_once(spark, max_bytes):
+    docs, words, tokens = docs_and_words(spark)
+    known = BlockBloom.trained(words, "word", 50, 0.01)
+    kept = known.keep(docs.select("id", F.explode(tokens).alias("token")), "token", max_bytes)
+    kept = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count("md5(") == 1 and kept.count("conv(") == 2  # a block and the bits in it
+
+
 def test_merged_saved_and_loaded(spark):
     half = lambda i: spark.range(300).where(f"id % 2 = {i}").selectExpr("CAST(id AS string) AS v")
     path = fresh_dir(spark, "saved")
